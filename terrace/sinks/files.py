@@ -1,0 +1,25 @@
+"""Whether a path exists, and removal of a staging folder, on any Hadoop file system."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+
+def _resolve(spark: SparkSession, path: str):
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop, hadoop.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    hadoop, system = _resolve(spark, path)
+    return system.exists(hadoop)
+
+
+def is_complete(spark: SparkSession, path: str) -> bool:
+    """Whether a Spark write to ``path`` was committed."""
+    return exists(spark, f"{path}/_SUCCESS")
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    hadoop, system = _resolve(spark, path)
+    system.delete(hadoop, True)
