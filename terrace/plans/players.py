@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass, replace
 from datetime import datetime
+from math import ceil
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from terrace.operators.clean import clean
@@ -14,9 +16,18 @@ from terrace.operators.history import change_history
 from terrace.operators.quality import enforce
 from terrace.operators.summary import summarize
 from terrace.profile import Aliased, Gap, Measure, Profile, Rule, Tier
-from terrace.sinks.clustered import optimize_table
+from terrace.sinks.clustered import cluster, optimize_table
 from terrace.sinks.keyed import KeyedTable
-from terrace.sinks.tables import ensure_layer, export_external, save_files, save_table, use_layer
+from terrace.sinks.tables import (
+    ensure_layer,
+    export_external,
+    register_partitioned,
+    replace_partitions,
+    replace_table,
+    save_files,
+    save_table,
+    use_layer,
+)
 from terrace.streaming.ingest import RawTable
 from terrace.streaming.jobs import upsert_available_now
 
@@ -139,9 +150,12 @@ CLUSTER_BY = {
     CLUBS: ("total_squad_value", "fifa_version"),
     AGES: ("avg_rating", "fifa_version"),
 }
+GOLD_PROPERTIES = {"quality": "gold"}
 # End of fixed values.
 # ---------------------------------------------------------------------------
 
+ROWS_PER_FILE = 5_000_000
+
 PROFILE = Profile(
     required=REQUIRED,
     casts=CASTS,
@@ -261,11 +275,11 @@ class PlayersLake:
             f"{self.root}/silver/{SILVER}", KEYS, PROFILE.time_column, partition_by=EDITION
         )
 
-    def run(self, spark: SparkSession) -> None:
-        """Load new files and bring every table up to date."""
+    def run(self, spark: SparkSession) -> list[int]:
+        """Load new files and bring every table up to date; returns the changed editions."""
         self.ingest(spark)
         self.upsert(spark)
-        self.publish(spark)
+        return self.publish(spark)
 
     def ingest(self, spark: SparkSession) -> StreamingQuery:
         return self.raw.ingest(spark)
@@ -274,36 +288,79 @@ class PlayersLake:
         stream = validated(cleaned(self.raw.stream(spark)))
         return upsert_available_now(stream, f"{self.silver.path}__checkpoint", self.silver)
 
-    def publish(self, spark: SparkSession) -> None:
-        """Write the cleaned table, the summaries and the history as catalog tables."""
+    def publish(self, spark: SparkSession) -> list[int]:
+        """Bring the catalog tables up to date with the cleaned table.
+
+        The summaries and the rankings are recomputed for the editions that changed
+        since the last call, which is read off the tables themselves: the rankings
+        are written last, so a call that was cut short is made good by the next one.
+        The history compares editions with each other and is recomputed as a whole.
+        Returns the editions that changed.
+        """
         for layer in (self.silver_layer, self.gold_layer):
             ensure_layer(spark, layer)
         silver = self.silver.read(spark)
-        gold = {
-            RANKINGS: rankings(silver),
-            NATIONS: nation_performance(silver),
-            CLUBS: club_analysis(silver),
-            AGES: age_analysis(silver),
-        }
-        save_table(
-            silver, f"{self.silver_layer}.{SILVER}",
-            comment="Cleaned and validated players, latest version per key",
-            properties={"quality": "silver"},
+        stale = self._stale_editions(spark, silver)
+        if not stale:
+            return stale
+        register_partitioned(
+            spark, f"{self.silver_layer}.{SILVER}", self.silver.path, silver.schema, EDITION,
+            "Cleaned and validated players, latest version per key", {"quality": "silver"},
         )
-        for name, rows in gold.items():
-            save_table(
-                rows, f"{self.gold_layer}.{name}",
-                comment=COMMENTS[name], properties={"quality": "gold"},
-            )
-        history = f"{self.gold_layer}.{HISTORY}"
-        save_table(transfer_history(silver), history, comment=COMMENTS[HISTORY])
-        save_files(spark.table(history), f"{self.root}/gold/{HISTORY}")
+        changed = silver.where(F.col(EDITION).isin(stale))
+        summaries = {
+            NATIONS: nation_performance(changed),
+            CLUBS: club_analysis(changed),
+            AGES: age_analysis(changed),
+        }
+        for table, fresh in summaries.items():
+            name = self._gold(table)
+            if spark.catalog.tableExists(name):
+                kept = spark.table(name).where(~F.col(EDITION).isin(stale))
+                fresh = kept.unionByName(fresh)
+            replace_table(fresh, name, self._folder(table), COMMENTS[table], GOLD_PROPERTIES)
+        history = self._folder(HISTORY)
+        save_files(transfer_history(silver), history)
+        save_table(spark.read.parquet(history), self._gold(HISTORY), comment=COMMENTS[HISTORY])
+        self._publish_rankings(spark, rankings(changed).hint("rebalance", EDITION))
+        return stale
 
     def optimize(self, spark: SparkSession) -> None:
         """Cluster the five tables on the columns that filters use most."""
-        for name, columns in CLUSTER_BY.items():
-            layer = self.silver_layer if name == SILVER else self.gold_layer
-            optimize_table(spark, f"{layer}.{name}", columns)
+        self.silver.optimize(spark, CLUSTER_BY[SILVER])
+        silver = self.silver.read(spark)
+        spark.catalog.refreshTable(f"{self.silver_layer}.{SILVER}")
+        rows = silver.count()
+        by = [c for c in CLUSTER_BY[RANKINGS] if c != EDITION]
+        files = max(1, ceil(rows / ROWS_PER_FILE))
+        self._publish_rankings(spark, cluster(rankings(silver), by, files, rows, [EDITION]))
+        for table in (NATIONS, CLUBS, AGES):
+            optimize_table(spark, self._gold(table), CLUSTER_BY[table])
+
+    def _publish_rankings(self, spark: SparkSession, rows: DataFrame) -> None:
+        path = self._folder(RANKINGS)
+        replace_partitions(rows, path, EDITION)
+        register_partitioned(
+            spark, self._gold(RANKINGS), path, rows.schema, EDITION,
+            COMMENTS[RANKINGS], GOLD_PROPERTIES,
+        )
+
+    def _stale_editions(self, spark: SparkSession, silver: DataFrame) -> list[int]:
+        newest = F.max(PROFILE.time_column)
+        current = silver.groupBy(EDITION).agg(newest.alias("current"))
+        if spark.catalog.tableExists(self._gold(RANKINGS)):
+            known = spark.table(self._gold(RANKINGS)).groupBy(EDITION).agg(newest.alias("known"))
+            current = current.join(known, EDITION, "left").where(
+                ~F.col("current").eqNullSafe(F.col("known"))
+            )
+        # One row per edition.
+        return sorted(row[EDITION] for row in current.select(EDITION).collect())
+
+    def _gold(self, table: str) -> str:
+        return f"{self.gold_layer}.{table}"
+
+    def _folder(self, table: str) -> str:
+        return f"{self.root}/gold/{table}"
 
     def export(self, spark: SparkSession, folder: str) -> list[str]:
         """Copy the five tables to ``folder`` as external tables."""
@@ -316,7 +373,7 @@ class PlayersLake:
     def report(self, spark: SparkSession) -> dict[str, DataFrame]:
         """Row counts after a load: raw rows, raw rows per edition, history rows."""
         raw = self.raw.read(spark)
-        history = spark.table(f"{self.gold_layer}.{HISTORY}")
+        history = spark.table(self._gold(HISTORY))
         return {
             "raw_rows": row_count(raw),
             "raw_rows_per_edition": counts_by(raw, EDITION),

@@ -11,12 +11,16 @@ be one writer at a time.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
+from math import ceil
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from terrace.operators.upsert import latest_by_key, upsert
+from terrace.sinks.clustered import cluster
 from terrace.sinks.files import exists, is_complete, remove
 from terrace.sources.schema_log import load_schema, save_schema
 
@@ -37,61 +41,83 @@ class KeyedTable:
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The current content."""
-        schema = load_schema(spark, self._schema_path)
-        if schema is None:
+        return self._scan(spark, self.schema(spark), self.path)
+
+    def schema(self, spark: SparkSession) -> T.StructType:
+        found = load_schema(spark, self._schema_path)
+        if found is None:
             raise ValueError(f"nothing was merged into {self.path} yet")
-        return spark.read.schema(schema).parquet(self.path).select(*schema.fieldNames())
+        return found
 
     def merge(self, changes: DataFrame) -> None:
         """Apply one batch of changes."""
         spark = changes.sparkSession
         self._finish(spark)
         # Used twice below: to find the touched partitions and in the merge.
-        reduced = latest_by_key(changes, self.keys, self.sequence, self.ties).persist()
+        newest = latest_by_key(changes, self.keys, self.sequence, self.ties).persist()
         try:
-            if reduced.isEmpty():
+            touched = self._touched(newest)
+            if touched is None:
                 return
-            merged = reduced
+            merged = newest
             if exists(spark, self.path):
-                current = self._touched(self.read(spark), reduced)
-                merged = upsert(current, reduced, self.keys, self.sequence, self.ties)
+                current = self.read(spark).where(touched)
+                merged = upsert(current, newest, self.keys, self.sequence, self.ties)
             save_schema(spark, self._schema_path, merged.schema)
-            self._write(merged, self._staging_path, spread=True)
+            self._stage(self._spread(merged))
         finally:
-            reduced.unpersist()
+            newest.unpersist()
+        self._finish(spark)
+
+    def optimize(
+        self, spark: SparkSession, columns: Sequence[str], rows_per_file: int = 5_000_000
+    ) -> None:
+        """Rewrite all partitions, compacted and clustered on ``columns``."""
+        self._finish(spark)
+        current = self.read(spark)
+        rows = current.count()
+        files = max(1, ceil(rows / rows_per_file))
+        parts = [] if self.partition_by is None else [self.partition_by]
+        self._stage(cluster(current, columns, files, rows, parts))
         self._finish(spark)
 
     def _finish(self, spark: SparkSession) -> None:
+        """Copy a complete staging folder over the table."""
         if is_complete(spark, self._staging_path):
-            schema = load_schema(spark, self._schema_path)
-            staged = spark.read.schema(schema).parquet(self._staging_path)
-            self._write(staged, self.path, spread=False)
+            staged = self._scan(spark, self.schema(spark), self._staging_path)
+            self._writer(staged, "dynamic").parquet(self.path)
             remove(spark, self._staging_path)
 
-    def _touched(self, current: DataFrame, reduced: DataFrame) -> DataFrame:
+    def _stage(self, df: DataFrame) -> None:
+        self._writer(df, "static").parquet(self._staging_path)
+
+    def _touched(self, changes: DataFrame) -> Column | None:
+        """A filter on the partitions that ``changes`` touch; ``None`` if it is empty."""
         if self.partition_by is None:
-            return current
-        # One value per partition folder; the list becomes a partition filter.
-        found = reduced.select(self.partition_by).distinct().collect()
+            return None if changes.isEmpty() else F.lit(True)
+        # One value per partition folder, so the list is as small as the folder list.
+        found = changes.select(self.partition_by).distinct().collect()
+        if not found:
+            return None
         values = [row[0] for row in found if row[0] is not None]
         touched = F.col(self.partition_by).isin(values)
         if len(values) < len(found):
             touched = touched | F.col(self.partition_by).isNull()
-        return current.where(touched)
+        return touched
+
+    def _spread(self, df: DataFrame) -> DataFrame:
+        # Few files per partition, while a large partition still gets many tasks.
+        return df if self.partition_by is None else df.hint("rebalance", self.partition_by)
 
-    def _write(self, df: DataFrame, path: str, spread: bool) -> None:
+    def _writer(self, df: DataFrame, overwrite: str) -> DataFrameWriter:
+        writer = df.write.mode("overwrite")
         if self.partition_by is None:
-            df.write.mode("overwrite").parquet(path)
-            return
-        if spread:
-            # Few files per partition, while a large partition still gets many tasks.
-            df = df.hint("rebalance", self.partition_by)
-        (
-            df.write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic" if path == self.path else "static")
-            .partitionBy(self.partition_by)
-            .parquet(path)
-        )
+            return writer
+        return writer.option("partitionOverwriteMode", overwrite).partitionBy(self.partition_by)
+
+    @staticmethod
+    def _scan(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
+        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
     @property
     def _staging_path(self) -> str:

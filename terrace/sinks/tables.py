@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -68,6 +69,62 @@ def set_properties(
         spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
 
 
+def replace_table(
+    df: DataFrame,
+    name: str,
+    folder: str,
+    comment: str | None = None,
+    properties: Mapping[str, str] | None = None,
+) -> str:
+    """Write ``df`` to a new folder below ``folder`` and point the table there.
+
+    ``df`` may read from the table itself, and readers keep the files that they
+    started with.  Returns the new location.
+    """
+    spark = df.sparkSession
+    path = f"{folder}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} SET LOCATION '{_quoted(path)}'")
+        spark.catalog.refreshTable(name)
+    else:
+        spark.catalog.createTable(name, path=path, source="parquet", schema=df.schema)
+    set_properties(spark, name, comment, properties)
+    return path
+
+
+def replace_partitions(df: DataFrame, path: str, column: str) -> None:
+    """Replace the partitions of ``column`` that occur in ``df``; others stay."""
+    (
+        df.write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy(column)
+        .parquet(path)
+    )
+
+
+def register_partitioned(
+    spark: SparkSession,
+    name: str,
+    path: str,
+    schema: T.StructType,
+    column: str,
+    comment: str | None = None,
+    properties: Mapping[str, str] | None = None,
+) -> None:
+    """A catalog table over partitioned Parquet files, up to date with the folders.
+
+    Catalog tables list the partition column last.
+    """
+    spark.sql(
+        f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING parquet "
+        f"PARTITIONED BY ({column}) LOCATION '{_quoted(path)}'"
+    )
+    spark.catalog.recoverPartitions(name)
+    spark.catalog.refreshTable(name)
+    set_properties(spark, name, comment, properties)
+
+
 def save_files(df: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Write ``df`` as a Parquet folder."""
     df.write.mode(mode).parquet(path)

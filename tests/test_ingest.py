@@ -1,0 +1,162 @@
+"""Header-safe CSV reading and incremental ingest."""
+
+import json
+
+import pytest
+
+from terrace.sources.delimited import header_groups, list_files, read_by_header
+from terrace.sources.schema_log import load_schema, save_schema
+from terrace.streaming.ingest import RawTable
+
+OLD = "id,club,v\n1,A,10\n2,,20\n"
+NEW = "id,v,extra\n3,30,hello\n4,40,\n"
+
+
+@pytest.fixture()
+def folder(tmp_path):
+    source = tmp_path / "in"
+    source.mkdir()
+    return source
+
+
+def put(folder, name, text):
+    folder.joinpath(name).write_text(text)
+
+
+def raw_table(folder, **settings):
+    return RawTable(
+        str(folder), str(folder.parent / "raw"), number="edition", pattern=r"players_(\d+)\.csv",
+        **settings,
+    )
+
+
+def records(df, *columns):
+    return sorted((tuple(r[c] for c in columns) for r in df.collect()), key=repr)
+
+
+def test_columns_are_matched_by_name(spark, folder):
+    put(folder, "players_15.csv", OLD)
+    put(folder, "players_16.csv", NEW)
+    found = read_by_header(spark, str(folder))
+    assert found.columns == ["id", "club", "v", "extra", "_rescued_data"]
+    assert records(found, "id", "club", "v", "extra", "_rescued_data") == [
+        ("1", "A", "10", None, None), ("2", None, "20", None, None),
+        ("3", None, "30", "hello", None), ("4", None, "40", None, None),
+    ]
+
+
+def test_files_with_equal_headers_share_a_scan(spark, folder):
+    for n in range(5):
+        put(folder, f"a{n}.csv", OLD)
+    put(folder, "b.csv", NEW)
+    put(folder, "empty.csv", "")
+    groups = header_groups(spark, list_files(spark, str(folder)))
+    assert {k: len(v) for k, v in groups.items()} == {("id", "club", "v"): 5, ("id", "v", "extra"): 1}
+
+
+def test_columns_outside_the_schema_are_rescued(spark, folder):
+    put(folder, "players_16.csv", NEW)
+    schema = spark.createDataFrame([], "id string, club string, v string").schema
+    found = read_by_header(spark, str(folder), schema=schema)
+    by_id = {r["id"]: r["_rescued_data"] for r in found.collect()}
+    assert json.loads(by_id["3"]) == {"extra": "hello"} and by_id["4"] is None
+
+
+def test_lines_that_do_not_fit_their_header_are_rescued(spark, folder):
+    put(folder, "a.csv", "id,v\n1,2\n2,3,more\n3\n")
+    by_id = {r["id"]: r["_rescued_data"] for r in read_by_header(spark, str(folder)).collect()}
+    assert by_id["1"] is None
+    assert json.loads(by_id["2"]) == {"_malformed_line": "2,3,more"}
+    assert json.loads(by_id["3"]) == {"_malformed_line": "3"}
+
+
+def test_quoted_cells_and_odd_names(spark, folder):
+    put(folder, "a.csv", 'id,"a.b","x y"\n1,"RW, ST",z\n')
+    found = read_by_header(spark, str(folder)).first()
+    assert (found["a.b"], found["x y"]) == ("RW, ST", "z")
+
+
+def test_second_run_adds_nothing(spark, folder):
+    put(folder, "players_15.csv", OLD)
+    table = raw_table(folder)
+    table.ingest(spark)
+    table.ingest(spark)
+    found = table.read(spark)
+    assert found.count() == 2
+    assert {r["edition"] for r in found.collect()} == {15}
+    assert all(r["source_file"].endswith("players_15.csv") for r in found.collect())
+    assert found.schema["ingested_at"].dataType.typeName() == "timestamp"
+    put(folder, "players_16.csv", NEW)
+    table.ingest(spark)
+    assert table.read(spark).count() == 4
+
+
+def test_later_columns_are_rescued(spark, folder):
+    put(folder, "players_15.csv", OLD)
+    table = raw_table(folder)
+    table.ingest(spark)
+    put(folder, "players_16.csv", NEW)
+    table.ingest(spark)
+    found = {r["id"]: r for r in table.read(spark).collect()}
+    assert "extra" not in found["3"] and found["3"]["club"] is None
+    assert json.loads(found["3"]["_rescued_data"]) == {"extra": "hello"}
+    assert found["3"]["edition"] == 16 and found["1"]["edition"] == 15
+
+
+def test_later_columns_are_added(spark, folder):
+    put(folder, "players_15.csv", OLD)
+    table = raw_table(folder, new_columns="add")
+    table.ingest(spark)
+    put(folder, "players_16.csv", NEW)
+    table.ingest(spark)
+    found = {r["id"]: r for r in table.read(spark).collect()}
+    assert found["3"]["extra"] == "hello" and found["1"]["extra"] is None
+    assert found["3"]["_rescued_data"] is None
+
+
+def test_small_batches_load_everything(spark, folder):
+    for n in range(15, 20):
+        put(folder, f"players_{n}.csv", OLD)
+    table = raw_table(folder, files_per_batch=2)
+    table.ingest(spark)
+    assert table.read(spark).count() == 10
+
+
+def test_replayed_batch_adds_nothing(spark, folder):
+    put(folder, "players_15.csv", OLD)
+    table = raw_table(folder)
+    names = spark.createDataFrame([(f"file:{folder}/players_15.csv",)], "path string")
+    table._load(names, 0)
+    before = records(table.read(spark), "id", "ingested_at")
+    table._load(names, 0)
+    assert records(table.read(spark), "id", "ingested_at") == before
+
+
+def test_new_checkpoint_cannot_hide_new_files(spark, folder):
+    put(folder, "players_15.csv", OLD)
+    put(folder, "players_16.csv", NEW)
+    table = raw_table(folder, new_columns="add")
+    for name in ("players_15.csv", "players_16.csv"):
+        names = spark.createDataFrame([(f"file:{folder}/{name}",)], "path string")
+        table._load(names, 0)
+    assert table.read(spark).count() == 4
+
+
+def test_the_file_stream_reads_names_only(spark, folder):
+    put(folder, "players_15.csv", OLD)
+    files = (
+        spark.read.format("binaryFile").option("pathGlobFilter", "*.csv").load(str(folder))
+    )
+    plan = files.select("path")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<path:string>" in plan
+
+
+def test_schema_log_keeps_the_newest(spark, tmp_path):
+    path = str(tmp_path / "log")
+    assert load_schema(spark, path) is None
+    first = spark.createDataFrame([], "a int").schema
+    second = spark.createDataFrame([], "a int, b array<string>").schema
+    for schema in (first, second, second):
+        save_schema(spark, path, schema)
+    assert load_schema(spark, path) == second
+    assert spark.read.json(path).count() == 2
