@@ -12,6 +12,7 @@ def spark(tmp_path_factory):
         spark__sql__warehouse__dir=str(root / "warehouse"),
         spark__checkpoint__dir=str(root / "shared"),
         spark__sql__shuffle__partitions="4",
+        spark__sql__maxMetadataStringLength="2000",
     )
     yield session
     session.stop()

@@ -1,0 +1,191 @@
+"""Table writes, namespaces, external copies, clustering."""
+
+import pytest
+from pyspark.sql import functions as F
+
+from terrace.functions.columns import step_index
+from terrace.session import scratch_path
+from terrace.sinks.clustered import bucket_bounds, cluster, interleave, optimize_table, rewrite_clustered
+from terrace.sinks.tables import (
+    declare_table,
+    ensure_layer,
+    export_external,
+    register_partitioned,
+    replace_partitions,
+    replace_table,
+    save_files,
+    save_table,
+    use_layer,
+)
+from terrace.sources.tables import describe, scan
+
+
+@pytest.fixture(scope="module")
+def layer(spark, tmp_path_factory):
+    name, place = "curated", tmp_path_factory.mktemp("curated")
+    ensure_layer(spark, name, str(place))
+    ensure_layer(spark, name, str(place))
+    return name
+
+
+@pytest.fixture(scope="module")
+def lines(spark, sf_dir):
+    return spark.read.parquet(f"{sf_dir}/lineitem.parquet")
+
+
+def details(spark, name):
+    return {r["col_name"]: r["data_type"] for r in describe(spark, name).collect()}
+
+
+def same(left, right):
+    return left.exceptAll(right).isEmpty() and right.exceptAll(left).isEmpty()
+
+
+def test_layer_has_its_location(spark, layer, tmp_path_factory):
+    assert "curated" in spark.catalog.getDatabase(layer).locationUri
+
+
+def test_current_layer(spark, layer):
+    use_layer(spark, layer)
+    assert spark.catalog.currentDatabase() == layer
+    use_layer(spark, "default")
+
+
+def test_comment_and_properties(spark, layer):
+    save_table(
+        spark.range(3), f"{layer}.numbers", comment="It's a test", properties={"quality": "gold"}
+    )
+    found = details(spark, f"{layer}.numbers")
+    assert found["Comment"] == "It's a test" and "quality=gold" in found["Table Properties"]
+
+
+def test_overwrite_replaces_the_content(spark, layer):
+    for n in (5, 3):
+        save_table(spark.range(n), f"{layer}.sizes")
+    assert scan(spark, f"{layer}.sizes").count() == 3
+
+
+def test_declared_table_is_empty_and_kept(spark, layer):
+    schema = spark.range(1).schema
+    declare_table(spark, f"{layer}.target", schema, "For a stream", {"quality": "silver"})
+    assert scan(spark, f"{layer}.target").count() == 0
+    spark.range(2).write.insertInto(f"{layer}.target")
+    declare_table(spark, f"{layer}.target", schema)
+    assert scan(spark, f"{layer}.target").count() == 2
+    assert details(spark, f"{layer}.target")["Comment"] == "For a stream"
+
+
+def test_files_are_overwritten(spark, tmp_path):
+    for n in (5, 3):
+        save_files(spark.range(n), str(tmp_path / "f"))
+    assert spark.read.parquet(str(tmp_path / "f")).count() == 3
+
+
+def test_external_copies(spark, layer, tmp_path):
+    save_table(spark.range(4), f"{layer}.origin")
+    target = str(tmp_path / "copy")
+    assert export_external(spark, [(layer, "origin", target)]) == [f"{layer}.origin_external"]
+    save_table(spark.range(7), f"{layer}.origin")
+    export_external(spark, [(layer, "origin", target)])
+    assert scan(spark, f"{layer}.origin_external").count() == 7
+    assert spark.read.parquet(target).count() == 7
+    assert details(spark, f"{layer}.origin_external")["Type"] == "EXTERNAL"
+
+
+def test_replaced_table_may_read_itself(spark, layer, tmp_path):
+    name, folder = f"{layer}.versioned", str(tmp_path / "versions")
+    replace_table(spark.range(3), name, folder, "First", {"quality": "gold"})
+    replace_table(scan(spark, name).union(spark.range(10, 12)), name, folder)
+    assert sorted(r["id"] for r in scan(spark, name).collect()) == [0, 1, 2, 10, 11]
+
+
+def test_partitions_are_replaced_one_by_one(spark, layer, tmp_path):
+    path, name = str(tmp_path / "parts"), f"{layer}.parts"
+    rows = spark.createDataFrame([(1, 15), (2, 16)], "id int, edition int")
+    for part in (rows, rows.where("edition = 16").withColumn("id", F.lit(9)),
+                 rows.limit(1).select("id", F.lit(17).alias("edition"))):
+        replace_partitions(part, path, "edition")
+        register_partitioned(spark, name, path, rows.schema, "edition", properties={"q": "g"})
+    assert sorted(tuple(r) for r in scan(spark, name).collect()) == [(1, 15), (1, 17), (9, 16)]
+
+
+@pytest.mark.parametrize("partition_by", [(), ("l_returnflag",)])
+def test_clustered_files_hold_the_same_rows(spark, sf_dir, lines, tmp_path, partition_by):
+    target = str(tmp_path / "z")
+    rewrite_clustered(
+        spark, f"{sf_dir}/lineitem.parquet", target, ["l_extendedprice", "l_shipdate"],
+        rows_per_file=400, partition_by=partition_by,
+    )
+    assert same(spark.read.parquet(target).select(*lines.columns), lines)
+
+
+def test_clustered_files_cover_small_boxes(spark, sf_dir, tmp_path):
+    """A filter on either column can skip most files by their min/max."""
+    target = str(tmp_path / "z")
+    columns = ["l_extendedprice", "l_shipdate"]
+    rewrite_clustered(spark, f"{sf_dir}/lineitem.parquet", target, columns, rows_per_file=100)
+    found = spark.read.parquet(target)
+    files = found.groupBy("_metadata.file_path").agg(
+        F.count("*").alias("n"),
+        *[F.min(c).alias(f"low_{i}") for i, c in enumerate(columns)],
+        *[F.max(c).alias(f"high_{i}") for i, c in enumerate(columns)],
+    ).collect()
+    assert len(files) > 40 and max(f["n"] for f in files) < 400
+    for i, column in enumerate(columns):
+        middle = found.agg(F.percentile_approx(column, 0.5)).first()[0]
+        hit = sum(f[f"low_{i}"] <= middle <= f[f"high_{i}"] for f in files)
+        assert hit <= len(files) // 3
+
+
+def test_one_frequent_row_is_spread_over_files(spark, tmp_path):
+    source, target = str(tmp_path / "s"), str(tmp_path / "t")
+    copies = spark.range(6000).select(F.lit(1.0).alias("a"), F.lit(2).alias("b"))
+    others = spark.range(3000).select(F.col("id").cast("double").alias("a"), F.lit(3).alias("b"))
+    copies.union(others).write.parquet(source)
+    rewrite_clustered(spark, source, target, ["a", "b"], rows_per_file=900)
+    sizes = [r["count"] for r in spark.read.parquet(target).groupBy("_metadata.file_path").count().collect()]
+    assert sum(sizes) == 9000 and max(sizes) < 2500
+
+
+def test_nulls_go_to_the_first_bucket(spark):
+    df = spark.createDataFrame([(None,), (1,), (2,), (3,), (9,)], "v int")
+    found = df.select("v", step_index(F.col("v"), [1, 2, 5]).alias("i")).collect()
+    assert [r["i"] for r in found] == [0, 0, 1, 2, 3]
+    assert bucket_bounds(df.where("v IS NULL"), ["v"], 3, 1) == {"v": []}
+
+
+def test_bits_alternate(spark):
+    df = spark.createDataFrame([(0b11, 0b00), (0b00, 0b11), (0b10, 0b01)], "a int, b int")
+    found = df.select(interleave([F.col("a"), F.col("b")], 2).alias("z")).collect()
+    assert [r["z"] for r in found] == [0b1010, 0b0101, 0b1001]
+
+
+def test_cluster_without_file_metadata(spark, lines):
+    grouped = lines.groupBy("l_suppkey").agg(F.avg("l_quantity").alias("q"))
+    assert same(cluster(grouped, ["q", "l_suppkey"], 3, 10), grouped)
+
+
+def test_rewrite_needs_its_own_target(spark, tmp_path):
+    with pytest.raises(ValueError, match="target"):
+        rewrite_clustered(spark, str(tmp_path), f"{tmp_path}/", ["a"])
+
+
+def test_optimized_table_keeps_its_rows(spark, layer, lines):
+    name = f"{layer}.lines"
+    save_table(lines, name, comment="Lines")
+    for _ in range(2):
+        location = optimize_table(spark, name, ["l_quantity", "l_shipdate"], rows_per_file=1000)
+        assert details(spark, name)["Location"].endswith(location.rsplit("/", 1)[1])
+        assert same(scan(spark, name), lines)
+    assert location.count("__clustered_") == 1
+
+
+def test_partitioned_table_is_not_optimized_in_place(spark, layer):
+    save_table(spark.range(3).withColumn("p", F.lit(1)), f"{layer}.parted", partition_by=["p"])
+    with pytest.raises(ValueError, match="partitioned"):
+        optimize_table(spark, f"{layer}.parted", ["id"])
+
+
+def test_scratch_is_shared_and_fresh(spark):
+    first, second = scratch_path(spark, "x"), scratch_path(spark, "x")
+    assert first != second and first.startswith(spark.conf.get("spark.checkpoint.dir"))
