@@ -60,19 +60,3 @@ def number_in_text(value: Column, pattern: str, group: int = 1) -> Column:
 def holds(predicate: str) -> Column:
     """TRUE where the predicate is TRUE, FALSE where it is FALSE or unknown."""
     return F.coalesce(F.expr(predicate), F.lit(False))
-
-
-def step_index(value: Column, bounds: list[Any]) -> Column:
-    """How many of the ascending ``bounds`` lie below ``value``; null counts as none.
-
-    The comparisons form a balanced CASE tree, so a row costs log2(len(bounds))
-    comparisons of generated code instead of a walk over an array.
-    """
-
-    def branch(low: int, high: int) -> Column:
-        if low == high:
-            return F.lit(low)
-        middle = (low + high) // 2
-        return F.when(value > bounds[middle], branch(middle + 1, high)).otherwise(branch(low, middle))
-
-    return F.when(value.isNull(), F.lit(0)).otherwise(branch(0, len(bounds)))

@@ -9,22 +9,33 @@ choice of cuts, so the cuts may come from a sample although no row is left out.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from math import ceil
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrace.operators.search import with_bounds_below
+
 PIECE = "_piece"
+LARGE = "_large"
 PREVIOUS = "_previous"
 FOLLOWING = "_following"
 
 _KEY = "_key"
 _CUTS = "_cuts"
-_BLOCK = 64
 _CUTTABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
+@dataclass(frozen=True)
+class Cuts:
+    """Ascending cut points per hashed id, at most ``size`` of them each."""
+
+    frame: DataFrame
+    size: int
+
+
 def cut_points(
     df: DataFrame,
     ids: Sequence[str],
@@ -32,7 +43,7 @@ def cut_points(
     rows_per_piece: int = 20_000_000,
     max_pieces: int = 10_000,
     sample_rows: int = 10_000_000,
-) -> DataFrame | None:
+) -> Cuts | None:
     """Where to cut the ids that exceed ``rows_per_piece``; ``None`` if there are none.
 
     Costs one count, and for larger tables one scan of the id and order columns of
@@ -64,6 +75,10 @@ def cut_points(
     spark = df.sparkSession
     finest = max(row["pieces"] for row in found)
     quantiles = [i / finest for i in range(1, finest)]
+    wanted = F.transform(
+        F.sequence(F.lit(1), F.col("pieces") - 1),
+        lambda i: F.element_at("fine", F.floor(i * F.lit(finest) / F.col("pieces")).cast("int")),
+    )
     cuts = (
         drawn.join(F.broadcast(spark.createDataFrame(found, large.schema)), _KEY)
         .groupBy(_KEY)
@@ -71,32 +86,19 @@ def cut_points(
             F.percentile_approx("at", quantiles, max(10_000, 10 * finest)).alias("fine"),
             F.max("pieces").alias("pieces"),
         )
-        .select(
-            _KEY,
-            F.array_distinct(
-                F.transform(
-                    F.sequence(F.lit(1), F.col("pieces") - 1),
-                    lambda i: F.element_at(
-                        "fine", F.floor(i * F.lit(finest) / F.col("pieces")).cast("int")
-                    ),
-                )
-            ).alias("bounds"),
-        )
-        .select(_KEY, _in_blocks(F.col("bounds")).alias(_CUTS))
+        .select(_KEY, F.array_distinct(wanted).alias(_CUTS))
     )
-    return spark.createDataFrame(cuts.collect(), cuts.schema)
+    return Cuts(spark.createDataFrame(cuts.collect(), cuts.schema), finest - 1)
 
 
-def with_piece(
-    df: DataFrame, ids: Sequence[str], order: str, cuts: DataFrame | None
-) -> DataFrame:
-    """Add the piece number of each row; null for ids that are not cut."""
+def with_piece(df: DataFrame, ids: Sequence[str], order: str, cuts: Cuts | None) -> DataFrame:
+    """Add whether an id is cut and the piece of each row, if there are any cuts."""
     if cuts is None:
-        return df.withColumn(PIECE, F.lit(None).cast("int"))
+        return df
+    keyed = df.withColumn(_KEY, F.xxhash64(*ids)).join(F.broadcast(cuts.frame), _KEY, "left")
     return (
-        df.withColumn(_KEY, F.xxhash64(*ids))
-        .join(F.broadcast(cuts), _KEY, "left")
-        .withColumn(PIECE, _piece(F.col(order), F.col(_CUTS)))
+        with_bounds_below(keyed, {PIECE: (order, F.col(_CUTS))}, cuts.size)
+        .withColumn(LARGE, F.col(_CUTS).isNotNull())
         .drop(_KEY, _CUTS)
     )
 
@@ -115,7 +117,9 @@ def with_neighbours(
     Both arrive as structs that are null where there is no such row.  ``df`` comes
     from ``with_piece``; ``cut`` says whether any id was cut.
     """
-    groups = [*ids, PIECE] if cut else [*ids]
+    # LARGE depends on the ids alone.  As a group column it lets the filter below pass
+    # the window and the join, so that the edges read the rows of large ids only.
+    groups = [*ids, LARGE, PIECE] if cut else [*ids]
     rows = Window.partitionBy(*groups).orderBy(order, *ties)
     wanted = {}
     if previous:
@@ -140,7 +144,7 @@ def with_neighbours(
         beyond.append(F.lead("first").over(pieces).alias("edge_following"))
     # One row per piece, so the size is bounded by the number of cuts.
     edge = (
-        df.where(F.col(PIECE).isNotNull())
+        df.where(LARGE)
         .groupBy(*[F.col(c).alias(f"edge_{c}") for c in ids], F.col(PIECE).alias("edge_piece"))
         .agg(*edges)
         .select(*[f"edge_{c}" for c in ids], "edge_piece", *beyond)
@@ -160,14 +164,3 @@ def _in_blocks(bounds: Column) -> Column:
     """Group ascending bounds into blocks, so that a lookup skips most of them."""
     starts = F.sequence(F.lit(1), F.greatest(F.size(bounds), F.lit(1)), F.lit(_BLOCK))
     return F.transform(starts, lambda at: F.slice(bounds, at, F.lit(_BLOCK)))
-
-
-def _piece(value: Column, blocks: Column) -> Column:
-    """How many bounds lie below ``value``; 0 for a null value."""
-    below = F.size(F.filter(blocks, lambda block: F.element_at(block, 1) < value))
-    inside = F.size(F.filter(F.get(blocks, below - 1), lambda bound: bound < value))
-    return (
-        F.when(blocks.isNull(), F.lit(None).cast("int"))
-        .when(value.isNull() | (below == 0), F.lit(0))
-        .otherwise((below - 1) * _BLOCK + inside)
-    )

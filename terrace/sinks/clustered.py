@@ -15,7 +15,7 @@ from math import ceil, log2
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from terrace.functions.columns import step_index
+from terrace.operators.search import with_bounds_below
 
 _SALT = "_salt"
 _ZONE = "_zone"
@@ -66,18 +66,22 @@ def cluster(
     The range key ends with the columns themselves and a salt, so neither a frequent
     value nor a frequent combination has to fit into one task.
     """
-    bits = max(1, min(8, ceil(log2(max(files, 2)) / len(columns)) + 1))
+    bits = max(4, min(8, ceil(log2(max(files, 2)) / len(columns)) + 2))
     bounds = bucket_bounds(df, columns, bits, rows)
     plain = df.columns
     if salt is None:
         salt = F.xxhash64(*plain)
-    buckets = [f"_bucket_{i}" for i in range(len(columns))]
-    placed = df.withColumns(
-        {b: step_index(F.col(c), bounds[c]) for b, c in zip(buckets, columns)} | {_SALT: salt}
-    ).withColumn(_ZONE, interleave([F.col(b) for b in buckets], bits))
-    keys = [*partition_by, _ZONE, *columns]
+    buckets = {
+        f"_bucket_{i}": (c, F.array(*map(F.lit, bounds[c]))) for i, c in enumerate(columns)
+    }
+    placed = with_bounds_below(df.withColumn(_SALT, salt), buckets, 2**bits - 1).withColumn(
+        _ZONE, interleave([F.col(b) for b in buckets], bits)
+    )
+    zone = [*partition_by, _ZONE]
     return (
-        placed.repartitionByRange(files, *keys, _SALT).sortWithinPartitions(*keys).select(*plain)
+        placed.repartitionByRange(files, *zone, *columns, _SALT)
+        .sortWithinPartitions(*zone)
+        .select(*plain)
     )
 
 

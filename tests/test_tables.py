@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from terrace.functions.columns import step_index
+from terrace.operators.search import with_bounds_below
 from terrace.session import scratch_path
 from terrace.sinks.clustered import bucket_bounds, cluster, interleave, optimize_table, rewrite_clustered
 from terrace.sinks.tables import (
@@ -147,11 +147,18 @@ def test_one_frequent_row_is_spread_over_files(spark, tmp_path):
     assert sum(sizes) == 9000 and max(sizes) < 2500
 
 
-def test_nulls_go_to_the_first_bucket(spark):
-    df = spark.createDataFrame([(None,), (1,), (2,), (3,), (9,)], "v int")
-    found = df.select("v", step_index(F.col("v"), [1, 2, 5]).alias("i")).collect()
-    assert [r["i"] for r in found] == [0, 0, 1, 2, 3]
-    assert bucket_bounds(df.where("v IS NULL"), ["v"], 3, 1) == {"v": []}
+@pytest.mark.parametrize("bounds", [[], [1], [1, 2, 5], [2 * i for i in range(100)]])
+def test_values_are_found_among_bounds(spark, bounds):
+    df = spark.range(-3, 210).selectExpr("CAST(id AS INT) AS v").union(spark.sql("SELECT NULL"))
+    searches = {"i": ("v", F.array(*map(F.lit, bounds)))}
+    for row in with_bounds_below(df, searches, max(1, len(bounds))).collect():
+        assert row["i"] == sum(row["v"] is not None and b < row["v"] for b in bounds)
+
+
+def test_column_of_nulls_has_no_bounds(spark):
+    df = spark.createDataFrame([(None,)], "v int")
+    assert bucket_bounds(df, ["v"], 3, 1) == {"v": []}
+    assert cluster(df, ["v"], 2, 1).count() == 1
 
 
 def test_bits_alternate(spark):
