@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 
 from terrace.plans import players
 from terrace.plans.registry import query, table
-from terrace.operators.quality import drop_failing
 from terrace.session import scratch_path
 
 AT = datetime(2024, 1, 1)
@@ -68,8 +67,11 @@ def raw_players(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def silver_players(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = players.cleaned(raw_players(spark, sf_dir), at=AT)
-    return drop_failing(rows, players.RULES)
+    """The rows that pass the drop rules, with all rules counted on the way.
+
+    The counters keep the filter above the casts, so each cast runs once per row.
+    """
+    return players.validated(players.cleaned(raw_players(spark, sf_dir), at=AT))
 
 
 _SILVER = """

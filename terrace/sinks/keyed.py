@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from terrace.operators.upsert import latest_by_key, upsert
 from terrace.sinks.clustered import cluster
-from terrace.sinks.files import exists, is_complete, remove
+from terrace.files import exists, is_complete, remove
 from terrace.sources.schema_log import load_schema, save_schema
 
 

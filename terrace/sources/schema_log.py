@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import json
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrace.files import exists
+
 _LINE = "version int, schema string"
 
 
@@ -36,12 +37,9 @@ def union_types(known: T.StructType | None, added: T.StructType) -> T.StructType
 
 
 def _newest(spark: SparkSession, path: str) -> tuple[int, T.StructType | None]:
-    try:
-        lines = spark.read.schema(_LINE).json(path)
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return 0, None
-        raise
+    if not exists(spark, path):
+        return 0, None
+    lines = spark.read.schema(_LINE).json(path)
     newest = lines.orderBy(F.col("version").desc()).first()
     if newest is None:
         return 0, None

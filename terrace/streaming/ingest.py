@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from terrace.sinks.files import is_complete
+from terrace.files import is_complete
 from terrace.sources.delimited import header_groups, read_groups, union_schema
 from terrace.sources.schema_log import load_schema, save_schema, union_types
 

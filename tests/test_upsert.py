@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrace.operators.upsert import latest_by_key, upsert
-from terrace.sinks.files import exists
+from terrace.files import exists
 from terrace.sinks.keyed import KeyedTable
 
 SCHEMA = "id int, edition int, name string, seq int, tie int"
