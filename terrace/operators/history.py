@@ -28,7 +28,7 @@ def change_history(
     start: str = "start_year",
     end: str = "end_year",
     current: str = "is_current",
-    rows_per_piece: int = 20_000_000,
+    rows_per_piece: int | None = 20_000_000,
 ) -> DataFrame:
     """One row per change of ``tracked``, with the period in which it held.
 
@@ -42,7 +42,8 @@ def change_history(
 
     ``offset`` is added to both period bounds (an edition number plus a century).
     One shuffle on ``ids`` serves both window passes; ids with more rows than
-    ``rows_per_piece`` are split over tasks.
+    ``rows_per_piece`` are split over tasks.  Finding them counts the rows of ``df``
+    first; pass ``None`` where the rows per id are known to be few.
     """
     if closing not in ("appearance", "change"):
         raise ValueError(f"closing must be 'appearance' or 'change', not {closing!r}")
@@ -50,7 +51,7 @@ def change_history(
     needed = dict.fromkeys([*kept, *ids, order, tracked, *ties])
     rows = df.select(*needed)
 
-    cuts = cut_points(rows, ids, order, rows_per_piece)
+    cuts = None if rows_per_piece is None else cut_points(rows, ids, order, rows_per_piece)
     seen = with_neighbours(
         with_piece(rows, ids, order, cuts),
         ids,

@@ -221,9 +221,13 @@ def age_analysis(silver: DataFrame) -> DataFrame:
 
 
 def transfer_history(silver: DataFrame, closing: str = "appearance") -> DataFrame:
-    """Clubs of each player with their periods; see ``change_history`` for ``closing``."""
+    """Clubs of each player with their periods; see ``change_history`` for ``closing``.
+
+    The key allows one row per player and edition, so no player is too large for a task.
+    """
     return change_history(
-        silver, ["player_id"], EDITION, "club_name", closing, CENTURY, columns=HISTORY_COLUMNS
+        silver, ["player_id"], EDITION, "club_name", closing, CENTURY,
+        columns=HISTORY_COLUMNS, rows_per_piece=None,
     )
 
 

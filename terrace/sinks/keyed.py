@@ -53,20 +53,19 @@ class KeyedTable:
         """Apply one batch of changes."""
         spark = changes.sparkSession
         self._finish(spark)
-        # Used twice below: to find the touched partitions and in the merge.
-        newest = latest_by_key(changes, self.keys, self.sequence, self.ties).persist()
-        try:
-            touched = self._touched(newest)
-            if touched is None:
-                return
-            merged = newest
-            if exists(spark, self.path):
+        newest = latest_by_key(changes, self.keys, self.sequence, self.ties)
+        if exists(spark, self.path):
+            # Written and not cached: the batch is computed once, survives lost
+            # executors, and is read back one column at a time.
+            newest.write.mode("overwrite").parquet(self._incoming_path)
+            incoming = self._scan(spark, newest.schema, self._incoming_path)
+            touched = self._touched(incoming)
+            if touched is not None:
                 current = self.read(spark).where(touched)
-                merged = upsert(current, newest, self.keys, self.sequence, self.ties)
-            save_schema(spark, self._schema_path, merged.schema)
-            self._stage(self._spread(merged))
-        finally:
-            newest.unpersist()
+                self._stage(upsert(current, incoming, self.keys, self.sequence, self.ties))
+            remove(spark, self._incoming_path)
+        else:
+            self._stage(newest)
         self._finish(spark)
 
     def optimize(
@@ -78,7 +77,7 @@ class KeyedTable:
         rows = current.count()
         files = max(1, ceil(rows / rows_per_file))
         parts = [] if self.partition_by is None else [self.partition_by]
-        self._stage(cluster(current, columns, files, rows, parts))
+        self._writer(cluster(current, columns, files, rows, parts)).parquet(self._staging_path)
         self._finish(spark)
 
     def _finish(self, spark: SparkSession) -> None:
@@ -89,7 +88,11 @@ class KeyedTable:
             remove(spark, self._staging_path)
 
     def _stage(self, df: DataFrame) -> None:
-        self._writer(df, "static").parquet(self._staging_path)
+        save_schema(df.sparkSession, self._schema_path, df.schema)
+        if self.partition_by is not None:
+            # Few files per partition, while a large partition still gets many tasks.
+            df = df.hint("rebalance", self.partition_by)
+        self._writer(df).parquet(self._staging_path)
 
     def _touched(self, changes: DataFrame) -> Column | None:
         """A filter on the partitions that ``changes`` touch; ``None`` if it is empty."""
@@ -105,11 +108,7 @@ class KeyedTable:
             touched = touched | F.col(self.partition_by).isNull()
         return touched
 
-    def _spread(self, df: DataFrame) -> DataFrame:
-        # Few files per partition, while a large partition still gets many tasks.
-        return df if self.partition_by is None else df.hint("rebalance", self.partition_by)
-
-    def _writer(self, df: DataFrame, overwrite: str) -> DataFrameWriter:
+    def _writer(self, df: DataFrame, overwrite: str = "static") -> DataFrameWriter:
         writer = df.write.mode("overwrite")
         if self.partition_by is None:
             return writer
@@ -119,6 +118,10 @@ class KeyedTable:
     def _scan(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
         return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
 
+    @property
+    def _incoming_path(self) -> str:
+        return f"{self.path}__incoming"
+
     @property
     def _staging_path(self) -> str:
         return f"{self.path}__staging"
