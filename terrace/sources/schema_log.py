@@ -24,8 +24,8 @@ def save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
     version, newest = _newest(spark, path)
     if newest == schema:
         return
-    line = spark.createDataFrame([(version + 1, schema.json())], _LINE)
-    line.coalesce(1).write.mode("append").json(path)
+    line = [F.lit(version + 1).alias("version"), F.lit(schema.json()).alias("schema")]
+    spark.range(1).coalesce(1).select(*line).write.mode("append").json(path)
 
 
 def union_types(known: T.StructType | None, added: T.StructType) -> T.StructType:
