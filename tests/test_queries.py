@@ -24,7 +24,7 @@ def test_query_agrees_with_sql(spark, sf_dir, database, name):
 
 
 def test_contract():
-    assert set(contract.queries()) == set(contract.oracle_sql()) == set(NAMES)
+    assert set(NAMES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 def test_entry(spark):
