@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import token_count
+from terrace.llm import pii, token_count
 from terrace.plans.registry import table
 
 Build = Callable[[SparkSession, str], DataFrame]
@@ -19,8 +19,14 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), model)
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    return pii.report(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Build] = {
     "op5_token_counts": op5_token_counts,
+    "op10_pii": op10_pii,
 }
 
 ORACLE: dict[str, str] = {}
