@@ -7,8 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import pii, token_count
+from terrace.llm import pii, token_count, token_output
 from terrace.plans.registry import table
+from terrace.session import scratch_path
 
 Build = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +20,14 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), model)
 
 
+def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of every document, written and read back."""
+    path = scratch_path(spark, "op8")
+    vocabulary = public_tokenizers.path("word_bpe_49k.json")
+    token_output.write_tokens(table(spark, sf_dir, "documents"), path, vocabulary, end_id=1)
+    return token_output.token_digest(spark, path)
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document."""
     return pii.report(table(spark, sf_dir, "documents"))
@@ -26,6 +35,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Build] = {
     "op5_token_counts": op5_token_counts,
+    "op8_token_output": op8_token_output,
     "op10_pii": op10_pii,
 }
 
