@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import pii, token_count, token_output
+from terrace.llm import minhash, pii, token_count, token_output
 from terrace.plans.registry import table
 from terrace.session import scratch_path
 
@@ -20,6 +20,12 @@ def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), model)
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of every document among its near copies."""
+    found = minhash.near_duplicates(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, written and read back."""
     path = scratch_path(spark, "op8")
@@ -35,6 +41,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Build] = {
     "op5_token_counts": op5_token_counts,
+    "op6_near_duplicates": op6_near_duplicates,
     "op8_token_output": op8_token_output,
     "op10_pii": op10_pii,
 }

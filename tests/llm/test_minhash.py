@@ -1,0 +1,115 @@
+import random
+import re
+
+import pytest
+
+from terrace.llm.components import connected_components
+from terrace.llm.minhash import Settings, least_matches, near_duplicates
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def shingles(text):
+    lower = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "")
+    words = WORD.findall(lower)
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + 3]) for i in range(max(1, len(words) - 2)))
+
+
+def roots_of(edges):
+    up = {}
+
+    def root(x):
+        up.setdefault(x, x)
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in edges:
+        a, b = root(a), root(b)
+        up[max(a, b)] = min(a, b)
+    return {x: root(x) for x in up}
+
+
+def expected(rows):
+    """rows: (doc_id, text), ids distinct and given."""
+    sets = {d: shingles(x) for d, x in rows}
+    holders = {}
+    for d, s in sets.items():
+        for g in s:
+            holders.setdefault(g, []).append(d)
+    pairs = {(a, b) for h in holders.values() for a in h for b in h if a < b}
+    edges = [
+        (a, b) for a, b in pairs if 100 * len(sets[a] & sets[b]) >= 85 * len(sets[a] | sets[b])
+    ]
+    roots = roots_of(edges)
+    return sorted((d, len(s), roots.get(d, d), roots.get(d, d) == d) for d, s in sets.items())
+
+
+def got(docs, settings=Settings()):
+    out = near_duplicates(docs, settings).select("doc_id", "n_shingles", "component_id", "kept")
+    return sorted(map(tuple, out.collect()), key=str)
+
+
+def test_given_documents(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    rows = [(r.doc_id, r.text) for r in docs.collect()]
+    assert got(docs) == sorted(expected(rows), key=str)
+
+
+def copies(count, seed):
+    """One text, many edited copies of it and of each other, exact copies, and others."""
+    rng = random.Random(seed)
+    words = [f"w{rng.randrange(5000)}" for _ in range(150)]
+    texts = [words]
+    for _ in range(count):
+        new = list(rng.choice(texts[-5:] + texts[:1]))
+        for _ in range(rng.randrange(6)):
+            new[rng.randrange(len(new))] = f"x{rng.randrange(10**6)}"
+        texts.append(new)
+    texts += [[f"z{rng.randrange(10**6)}" for _ in range(rng.randrange(40))] for _ in range(50)]
+    rows = [(n, " ".join(t)) for n, t in enumerate(texts)]
+    rng.shuffle(rows)
+    return rows + [(10_000 + n, texts[0] and " ".join(texts[0])) for n in range(100)]
+
+
+@pytest.mark.parametrize("block", [16, 512])
+def test_large_groups_in_small_blocks(spark, block):
+    rows = copies(250, block)
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    assert got(docs, Settings(block=block)) == sorted(expected(rows), key=str)
+
+
+def test_odd_rows(spark):
+    rows = [
+        (1, "", "x"), (2, None, "x"), (3, " \n", "x"), (4, "A b", "x"), (5, "a  B", "x"), (6, "a", "x"),
+        (None, "a b", "x"), (None, "only here", "x"), (7, "é" * 100_000, "x"), (8, "É" * 100_000, "x"),
+        (9, "a b c", "x"), (9, "d e f", "x"), (9, "d e f", "x"), (10, "d  e f", "x"),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, same string")
+    assert got(docs) == sorted([
+        (1, 0, 1, True), (2, 0, 2, True), (3, 0, 3, True), (4, 1, 4, True), (5, 1, 4, False), (6, 1, 6, True),
+        (None, 1, 4, False), (None, 1, None, True), (7, 1, 7, True), (8, 1, 8, True),
+        (9, 1, 9, True), (9, 1, 9, True), (9, 1, 9, True), (10, 1, 9, False),
+    ], key=str)
+    assert got(docs.limit(0)) == []
+
+
+def test_bounds_keep_pairs_at_the_threshold():
+    for n, m in least_matches(Settings()):
+        assert 0 < m < 0.85 * n
+
+
+def test_components_of_any_graph(spark):
+    rng = random.Random(3)
+    edges = [(n, n + 1) for n in range(0, 60)] + [(1000, 2000 + n) for n in range(300)]
+    edges += [(rng.randrange(5000, 6000), rng.randrange(5000, 6000)) for _ in range(600)] + [(7, 7)]
+    frame = spark.createDataFrame(edges, "a long, b long")
+    found = {}
+    for r in connected_components(frame).collect():
+        found.setdefault(r.root, set()).add(r.node)
+    wanted = {}
+    for x, root in roots_of([e for e in edges if e[0] != e[1]]).items():
+        wanted.setdefault(root, set()).add(x)
+    assert sorted(map(sorted, found.values())) == sorted(map(sorted, wanted.values()))
