@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import minhash, pii, token_count, token_output
+from terrace.llm import license_scan, minhash, pii, token_count, token_output
 from terrace.plans.registry import table
 from terrace.session import scratch_path
 
@@ -26,6 +26,11 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_shingles", "component_id", "kept")
 
 
+def op7_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """License phrases and notices of every document."""
+    return license_scan.scan(table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every document, written and read back."""
     path = scratch_path(spark, "op8")
@@ -42,6 +47,7 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Build] = {
     "op5_token_counts": op5_token_counts,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_license_scan": op7_license_scan,
     "op8_token_output": op8_token_output,
     "op10_pii": op10_pii,
 }
