@@ -7,13 +7,32 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from terrace.llm import license_scan, minhash, pii, token_count, token_output
+from terrace.llm import (
+    decontaminate,
+    license_scan,
+    minhash,
+    mixing,
+    pii,
+    token_count,
+    token_output,
+)
 from terrace.plans.registry import table
 from terrace.session import scratch_path
 
 Build = Callable[[SparkSession, str], DataFrame]
 
 
+def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Test items in documents."""
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.find_items(docs, benchmark)
+
+
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents mixed towards equal sources."""
+    return mixing.mix(table(spark, sf_dir, "documents"))
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document."""
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -45,6 +64,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Build] = {
+    "op1_decontamination": op1_decontamination,
+    "op2_mixing": op2_mixing,
     "op5_token_counts": op5_token_counts,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_license_scan": op7_license_scan,
@@ -52,4 +73,31 @@ QUERIES: dict[str, Build] = {
     "op10_pii": op10_pii,
 }
 
-ORACLE: dict[str, str] = {}
+_OP2 = """
+WITH counts AS (SELECT source, count(*) AS n, pow(count(*), 0.7) AS weight FROM documents GROUP BY source),
+rates AS (
+    SELECT source, (sum(n) OVER ()) * weight / (sum(weight) OVER ()) / n AS rate FROM counts
+),
+drawn AS (SELECT *, greatest(ceil(rate / 256), 1) AS draws FROM rates),
+below AS (
+    SELECT source, draws, sum(exp(k * ln(rate / draws) - rate / draws - lgamma(k + 1)))
+        OVER (PARTITION BY source ORDER BY k) AS c
+    FROM drawn, range(0, 500) AS steps(k)
+),
+uniform AS (
+    SELECT d.doc_id, d.source, j,
+        ('0x' || substr(md5('0|' || d.doc_id || '|' || j), 1, 13))::BIGINT / 4503599627370496.0 AS u
+    FROM documents d JOIN drawn USING (source), LATERAL (SELECT unnest(range(1, draws::BIGINT + 1)) AS j)
+),
+copies AS (
+    SELECT doc_id, sum((SELECT count(*) FROM below b WHERE b.source = u.source AND b.c <= u.u)) AS n
+    FROM uniform u GROUP BY doc_id
+),
+exploded AS (SELECT doc_id, unnest(range(1, n::BIGINT + 1))::INTEGER AS copy FROM copies)
+SELECT d.*, e.copy, md5('0|order|' || d.doc_id || '|' || e.copy) AS mix_key
+FROM documents d JOIN exploded e USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op2_mixing": _OP2,
+}
