@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from terrace.llm import (
     decontaminate,
@@ -15,6 +16,7 @@ from terrace.llm import (
     pii,
     token_count,
     token_output,
+    top_products,
 )
 from terrace.plans.registry import table
 from terrace.session import scratch_path
@@ -58,6 +60,11 @@ def op8_token_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_output.token_digest(spark, path)
 
 
+def op9_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest five of every fiftieth vector by inner product."""
+    return top_products.top_products(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
 def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data of every document."""
     return pii.report(table(spark, sf_dir, "documents"))
@@ -70,6 +77,7 @@ QUERIES: dict[str, Build] = {
     "op6_near_duplicates": op6_near_duplicates,
     "op7_license_scan": op7_license_scan,
     "op8_token_output": op8_token_output,
+    "op9_top_products": op9_top_products,
     "op10_pii": op10_pii,
 }
 
@@ -98,6 +106,21 @@ SELECT d.*, e.copy, md5('0|order|' || d.doc_id || '|' || e.copy) AS mix_key
 FROM documents d JOIN exploded e USING (doc_id)
 """
 
+_OP9 = """
+WITH whole AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scored AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.v, c.v)::BIGINT AS score
+    FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id
+)
+SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
+    SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM scored
+) WHERE rank <= 5
+"""
+
 ORACLE: dict[str, str] = {
+    "op9_top_products": _OP9,
     "op2_mixing": _OP2,
 }
