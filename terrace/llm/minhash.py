@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.components import connected_components
+from terrace.llm.tiles import Forest, Links, Tile, links, tile
 from terrace.session import scratch_path
 
 _CACHED_WORDS = 500_000
@@ -192,50 +193,7 @@ def _nodes(sketches: DataFrame) -> DataFrame:
     )
 
 
-def _tiles(nodes: DataFrame, settings: Settings) -> DataFrame:
-    """Which nodes meet: bucket, its band, the two blocks i and j of a tile, node and its block."""
-    members = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
-    groups = (
-        members.groupBy("bucket", "band")
-        .agg(
-            F.count("*").alias("size"),
-            F.bit_xor(F.xxhash64("node")).alias("x"),
-            F.bit_xor(F.xxhash64("node", F.lit(1))).alias("y"),
-        )
-        .where("size > 1")
-        .groupBy("size", "x", "y")
-        .agg(F.min(F.struct("band", "bucket")).alias("first"))
-        .select("size", "first.band", "first.bucket")
-    )
-    blocks = F.ceil(F.col("size") / settings.block).cast("long")
-    met = members.join(groups, ["bucket", "band"]).withColumn(
-        "block", F.pmod(F.xxhash64("node"), blocks)
-    )
-    other = F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)).alias("other")
-    return met.select("bucket", "band", "node", "block", other).select(
-        "bucket",
-        "band",
-        F.least("block", "other").alias("i"),
-        F.greatest("block", "other").alias("j"),
-        "node",
-        "block",
-    )
-
-
-class _Forest:
-    """Sets of a tile's places."""
-
-    def __init__(self, size: int):
-        self.up = list(range(size))
-
-    def root(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = self.up[self.up[x]]
-            x = self.up[x]
-        return x
-
-
-def _links_of_tile(tile: dict[str, np.ndarray], sketcher: Sketcher, bounds: list) -> list[tuple[int, int]]:
+def _links_of_tile(tile: Tile, sketcher: Sketcher, bounds: list[tuple[int, int]]) -> Links:
     settings = sketcher.settings
     size, band = len(tile["node"]), int(tile["band"][0])
     apart = tile["i"][0] != tile["j"][0]
@@ -249,7 +207,7 @@ def _links_of_tile(tile: dict[str, np.ndarray], sketcher: Sketcher, bounds: list
             sets[x] = sketcher.shingles(sketcher.words(tile["text"][x]))
         return sets[x]
 
-    forest, links = _Forest(size), []
+    forest, found = Forest(size), []
     for x in range(size - 1):
         met = np.arange(x + 1, size)
         if apart:
@@ -274,43 +232,14 @@ def _links_of_tile(tile: dict[str, np.ndarray], sketcher: Sketcher, bounds: list
         shared = np.add.reduceat((own[place] == every).astype(np.int64), ends - sizes)
         linked = 100 * shared >= settings.percent * (len(own) + sizes - shared)
         for y in np.flatnonzero(linked).tolist():
-            one, two = forest.root(x), forest.root(met[y])
-            if one != two:
-                forest.up[two] = one
-                links.append((int(tile["node"][x]), int(tile["node"][met[y]])))
-    return links
+            if forest.join(x, met[y]):
+                found.append((int(tile["node"][x]), int(tile["node"][met[y]])))
+    return found
 
 
-def _links(tiles: DataFrame, settings: Settings) -> DataFrame:
-    """Links of a spanning forest of each tile; rows come sorted by tile."""
-    names = ["bucket", "band", "i", "j", "node", "block", "text", "bands", "sign"]
-    bounds = least_matches(settings)
-
-    def links(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sketcher = Sketcher(settings)
-        held: list[dict[str, np.ndarray]] = []
-
-        def closed() -> list[tuple[int, int]]:
-            tile = {n: np.concatenate([h[n] for h in held]) for n in names}
-            held.clear()
-            return _links_of_tile(tile, sketcher, bounds) if len(tile["node"]) > 1 else []
-
-        for batch in batches:
-            columns = {n: batch[n].to_numpy() for n in names}
-            found: list[tuple[int, int]] = []
-            key = np.stack([columns[n].astype(np.int64) for n in ("bucket", "i", "j")])
-            cuts = (np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist()
-            for a, b in zip([0, *cuts], [*cuts, len(batch)], strict=True):
-                if held and any(held[0][n][0] != columns[n][a] for n in ("bucket", "i", "j")):
-                    found += closed()
-                held.append({n: columns[n][a:b] for n in names})
-            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-        if held:
-            yield pd.DataFrame(closed(), columns=["a", "b"], dtype="int64")
-
-    tile = ["bucket", "i", "j"]
-    sorted_tiles = tiles.select(names).repartition(*tile).sortWithinPartitions(*tile)
-    return sorted_tiles.mapInPandas(links, "a long, b long")
+def _opened(settings: Settings) -> Callable[[Tile], Links]:
+    sketcher, bounds = Sketcher(settings), least_matches(settings)
+    return lambda tile: _links_of_tile(tile, sketcher, bounds)
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -322,7 +251,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     _nodes(sketches).write.parquet(f"{path}/nodes")
     nodes = spark.read.parquet(f"{path}/nodes")
 
-    _tiles(nodes, settings).write.parquet(f"{path}/tiles")
+    members = nodes.select("node", F.posexplode("bands").alias("band", "bucket"))
+    tile(members, settings.block).write.parquet(f"{path}/tiles")
     tiles = spark.read.parquet(f"{path}/tiles")
     needed = nodes.join(tiles.select("node").distinct(), "node", "left_semi")
     text = F.coalesce("text", F.lit(""))
@@ -332,7 +262,8 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     # repeated rows go before the shuffle
     texts = texts.dropDuplicates(["doc_id", "text_md5"])
     known = texts.join(needed.drop("same"), ["doc_id", "text_md5"]).drop("doc_id", "text_md5")
-    _links(tiles.join(known, "node"), settings).write.parquet(f"{path}/links")
+    found = links(tiles.join(known, "node"), ["text", "bands", "sign"], lambda: _opened(settings))
+    found.write.parquet(f"{path}/links")
 
     roots = connected_components(spark.read.parquet(f"{path}/links"))
     rooted = nodes.select("node", "same", "doc_id").join(roots, "node")

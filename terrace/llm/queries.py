@@ -11,9 +11,11 @@ from pyspark.sql import functions as F
 from terrace.llm import (
     decontaminate,
     license_scan,
+    line_dedup,
     minhash,
     mixing,
     pii,
+    site_quality,
     token_count,
     token_output,
     top_products,
@@ -35,6 +37,18 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line of every document, and the occurrence that stays of its group."""
+    return line_dedup.line_decisions(table(spark, sf_dir, "documents")).drop("row")
+
+
+def op4_site_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; its source is the host and its language the path."""
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    found = site_quality.classify(docs, labels)
+    return found.select(F.col("doc.doc_id").alias("doc_id"), *found.columns[1:])
+
+
 def op5_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of every document."""
     model = public_tokenizers.path("piece_bpe_32k.model")
@@ -73,6 +87,8 @@ def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Build] = {
     "op1_decontamination": op1_decontamination,
     "op2_mixing": op2_mixing,
+    "op3_line_dedup": op3_line_dedup,
+    "op4_site_quality": op4_site_quality,
     "op5_token_counts": op5_token_counts,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_license_scan": op7_license_scan,
