@@ -18,7 +18,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from terrace.session import scratch_path
@@ -158,21 +158,50 @@ def find_items(
     group_letters: int = 4_000_000,
 ) -> DataFrame:
     """doc_id, item_id, distance and the words (from 0) of each item's best place in each document."""
-    cleaned = benchmark.select(
-        F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")
-    )
-    letters = cleaned.agg(F.sum(F.length("text"))).first()[0] or 0
-    groups = letters // group_letters + 1
+    cleaned, groups = _cleaned(benchmark, group_letters)
     if groups == 1:
         return _found(docs, _group(cleaned), error_rate)
     path = scratch_path(docs.sparkSession, "decontaminate")
-    dealt = cleaned.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(groups)))
     for number in range(groups):
-        part = _group(dealt.where(F.col("part") == number))
+        part = _group(cleaned.where(F.col("part") == number))
         _found(docs, part, error_rate).write.mode("append").parquet(path)
     return docs.sparkSession.read.parquet(path)
 
 
+def without_items(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    error_rate: float = 0.05,
+    group_letters: int = 4_000_000,
+) -> DataFrame:
+    """The rows of ``docs`` that hold no item; rows stay where they are, nothing is shuffled."""
+    cleaned, groups = _cleaned(benchmark, group_letters)
+    for number in range(groups):
+        items = _group(cleaned.where(F.col("part") == number))
+        docs = docs.where(~_holds(items, error_rate, F.coalesce("text", F.lit(""))))
+    return docs
+
+
+def _holds(items: list[tuple[str | None, str]], error_rate: float, text: Column) -> Column:
+    @F.pandas_udf("boolean")
+    def holds(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        matcher = Matcher(items, error_rate)
+        for texts in batches:
+            yield pd.Series([bool(matcher.find(plain(t))) for t in texts], dtype=bool)
+
+    return holds(text)
+
+
+def _cleaned(benchmark: DataFrame, group_letters: int) -> tuple[DataFrame, int]:
+    """Items with the group (``part``) each is in, and the number of groups."""
+    cleaned = benchmark.select(
+        F.col("item_id").cast("string").alias("item_id"), F.coalesce("text", F.lit("")).alias("text")
+    )
+    letters = cleaned.agg(F.sum(F.length("text"))).first()[0] or 0
+    groups = letters // group_letters + 1
+    return cleaned.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(groups))), groups
+
+
 def _group(items: DataFrame) -> list[tuple[str | None, str]]:
     texts = [(r.item_id, plain(r.text)) for r in items.select("item_id", "text").collect()]
     return [(item_id, text) for item_id, text in texts if text]

@@ -4,7 +4,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from terrace.llm.decontaminate import Item, Matcher, find_items, plain
+from terrace.llm.decontaminate import Item, Matcher, find_items, plain, without_items
 
 
 def brute(item, text):
@@ -77,6 +77,9 @@ def test_given_documents_hold_their_items(spark, sf_dir):
     for (d, i), r in found.items():
         if r.distance == 0:
             assert words[d].split()[r.first_word : r.last_word + 1] == dict(items)[i].split()
+    left = {r.doc_id for r in without_items(docs, benchmark).collect()}
+    assert left == {d for d, _ in texts} - {d for d, _ in found}
+    assert without_items(docs, benchmark, group_letters=500).count() == len(left)
     grouped = find_items(docs, benchmark, group_letters=500)
     assert sorted(map(tuple, grouped.collect())) == sorted(map(tuple, found.values()))
 
