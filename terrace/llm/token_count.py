@@ -15,6 +15,7 @@ from __future__ import annotations
 import heapq
 import re
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -55,21 +56,41 @@ def count_after_merges(unit: str, ranks: dict[str, float]) -> int:
 
 
 class _Units(dict):
-    """Counts of units seen lately; holds a bounded number of short ones."""
+    """Counts of short units seen lately: a bounded number, and as many from before."""
 
     def __init__(self, ranks: dict[str, float]):
         super().__init__()
         self.ranks = ranks
+        self._older: dict[str, int] = {}
 
     def __missing__(self, unit: str) -> int:
-        count = count_after_merges(unit.replace(" ", SPACE), self.ranks)
+        count = self._older.get(unit)
+        if count is None:
+            count = count_after_merges(unit.replace(" ", SPACE), self.ranks)
         if len(unit) <= _CACHED_LENGTH:
             if len(self) >= _CACHED_UNITS:
+                self._older = dict(self)
                 self.clear()
             self[unit] = count
         return count
 
 
+def _openers(pieces: list[str], letters: set[str]) -> set[str]:
+    """Signs that no piece holds right after a letter or another sign that is no opener."""
+    signs = {c for c in letters if not c.isalnum()}
+    while True:
+        late = {b for p in pieces for a, b in zip(p, p[1:], strict=False) if a not in signs}
+        if not signs & late:
+            return signs
+        signs -= late
+
+
+@lru_cache(maxsize=2)
+def _counter(model_path: str) -> PairCounter:
+    """One counter for all tasks of a Python worker."""
+    return PairCounter(model_path)
+
+
 class PairCounter:
     """Counts the tokens of texts for one vocabulary file."""
 
@@ -86,11 +107,16 @@ class PairCounter:
         longer = [p for p in ranks if len(p) > 1]
         if any(SPACE in p.lstrip(SPACE) for p in longer):
             raise ValueError("pieces that hold a space after a letter are not supported")
-        joining = "".join(sorted({c for p in longer for c in p} - {SPACE}))
-        joins = f"[{re.escape(joining)}]" if joining else r"(?!)"
-        alone = f"[^ {re.escape(joining)}]"
-        # no piece reaches from a letter to a space, nor over a character that no longer piece has
-        self._cut = re.compile(f" +{joins}*|{joins}+|{alone}")
+        bare = [p.lstrip(SPACE) for p in longer]
+        joining = {c for p in bare for c in p}
+        openers = _openers(bare, joining)
+        signs, rest = (
+            f"[{re.escape(''.join(sorted(c)))}]" if c else "(?!)" for c in (openers, joining - openers)
+        )
+        alone = f"[^ {re.escape(''.join(sorted(joining)))}]"
+        # no piece reaches from a letter to a space or an opener, nor over a character that no longer
+        # piece has
+        self._cut = re.compile(f" +{signs}*{rest}*|{signs}+{rest}*|{rest}+|{alone}")
 
     def count(self, text: str | None) -> int:
         if not text:
@@ -106,7 +132,7 @@ def token_count(text: Column, model_path: str) -> Column:
 
     @F.pandas_udf("long")
     def count(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        counter = PairCounter(model_path)
+        counter = _counter(model_path)
         for texts in batches:
             yield pd.Series([counter.count(t) for t in _present(texts)], dtype="int64")
 
