@@ -1,7 +1,13 @@
-"""Whether a path exists, and removal of a staging folder, on any Hadoop file system."""
+"""Paths on any Hadoop file system: existence, folder names, first lines, removal.
+
+These few calls need the classic session; the Connect client has no file system API.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import SparkSession
 
 
@@ -23,3 +29,46 @@ def is_complete(spark: SparkSession, path: str) -> bool:
 def remove(spark: SparkSession, path: str) -> None:
     hadoop, system = _resolve(spark, path)
     system.delete(hadoop, True)
+
+
+def folders(spark: SparkSession, path: str, depth: int = 1) -> list[str]:
+    """Paths of the folders ``depth`` levels below ``path``, relative to it; hidden ones are skipped."""
+    found = [""]
+    for _ in range(depth):
+        deeper = []
+        for part in found:
+            hadoop, system = _resolve(spark, f"{path}/{part}" if part else path)
+            if not system.exists(hadoop):
+                continue
+            for status in system.listStatus(hadoop):
+                name = status.getPath().getName()
+                if status.isDirectory() and name[0] not in "_.":
+                    deeper.append(f"{part}/{name}" if part else name)
+        found = deeper
+    return sorted(found)
+
+
+def first_lines(spark: SparkSession, paths: Sequence[str], charset: str = "UTF-8") -> list[str | None]:
+    """The first line of each file, ``None`` of an empty one; read by threads, without a Spark job.
+
+    Files that a Hadoop codec compressed are opened through it.
+    """
+    jvm = spark.sparkContext._jvm
+    codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
+        spark.sparkContext._jsc.hadoopConfiguration()
+    )
+
+    def first(path: str) -> str | None:
+        hadoop, system = _resolve(spark, path)
+        stream = system.open(hadoop)
+        codec = codecs.getCodec(hadoop)
+        if codec is not None:
+            stream = codec.createInputStream(stream)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, charset))
+        try:
+            return reader.readLine()
+        finally:
+            reader.close()
+
+    with ThreadPoolExecutor(max_workers=32) as pool:
+        return list(pool.map(first, paths))

@@ -47,6 +47,11 @@ def top_rows(
     return kept if columns is None else kept.select(*columns)
 
 
+def preview(df: DataFrame, n: int) -> DataFrame:
+    """Any ``n`` rows; reads no more than it needs."""
+    return df.limit(n)
+
+
 def load_report(df: DataFrame, by: str, current: str | None = None) -> DataFrame:
     """Rows per ``by`` value and, in the same pass, how many satisfy ``current``."""
     measures = [F.count(F.lit(1)).alias("row_count")]

@@ -158,9 +158,3 @@ def with_neighbours(
     if following:
         joined = joined.withColumn(FOLLOWING, F.coalesce(FOLLOWING, "edge_following"))
     return joined.select(*found.columns)
-
-
-def _in_blocks(bounds: Column) -> Column:
-    """Group ascending bounds into blocks, so that a lookup skips most of them."""
-    starts = F.sequence(F.lit(1), F.greatest(F.size(bounds), F.lit(1)), F.lit(_BLOCK))
-    return F.transform(starts, lambda at: F.slice(bounds, at, F.lit(_BLOCK)))

@@ -6,9 +6,9 @@ outcome is a violation.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions.columns import holds
@@ -58,3 +58,9 @@ def quality_report(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
         for i, r in enumerate(rules)
     ]
     return counts.select(F.inline(F.array(*lines)))
+
+
+def counter_rows(spark: SparkSession, counters: Mapping[str, int]) -> DataFrame:
+    """rule and violations: what an ``Observation`` or a query's progress has counted, as rows."""
+    pairs = sorted(counters.items())
+    return spark.createDataFrame(pairs, "rule string, violations long")

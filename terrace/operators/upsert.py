@@ -13,9 +13,11 @@ def latest_by_key(
 ) -> DataFrame:
     """Per key the row with the greatest ``sequence``; ``ties`` settle equal ones.
 
+    Tie columns that ``df`` lacks are skipped: a column may arrive with a later batch.
     Spark keeps one row per key and map task before the shuffle (a partial group
     limit), so a key that holds a third of all rows does not reach one reducer.
     """
+    ties = [t for t in ties if t in df.columns]
     newest = Window.partitionBy(*keys).orderBy(
         *[F.col(c).desc_nulls_last() for c in (sequence, *ties)]
     )

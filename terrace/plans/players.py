@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, replace
+import json
+from dataclasses import dataclass
 from datetime import datetime
 from math import ceil
 
@@ -10,25 +11,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from terrace.files import exists
 from terrace.operators.clean import clean
 from terrace.operators.explore import counts_by, load_report, row_count, top_rows, top_values
 from terrace.operators.history import change_history
-from terrace.operators.quality import enforce
+from terrace.operators.quality import drop_failing, enforce
 from terrace.operators.summary import summarize
 from terrace.profile import Aliased, Gap, Measure, Profile, Rule, Tier
 from terrace.sinks.clustered import cluster, optimize_table
-from terrace.sinks.keyed import KeyedTable
+from terrace.sinks.keyed import KeyedTable, Manifest
 from terrace.sinks.tables import (
     ensure_layer,
     export_external,
     register_partitioned,
     replace_partitions,
     replace_table,
-    save_files,
-    save_table,
     use_layer,
 )
-from terrace.streaming.ingest import RawTable
+from terrace.streaming.ingest import LOAD, RawTable
 from terrace.streaming.jobs import upsert_available_now
 
 # ---------------------------------------------------------------------------
@@ -130,6 +130,7 @@ AGE_MEASURES = (
     Measure("avg_rating_gap", "avg", "rating_gap", 1),
     Measure("last_updated", "max", "processed_at"),
 )
+RAW = "players_raw"
 SILVER = "players_silver"
 RANKINGS = "player_rankings"
 NATIONS = "nation_performance"
@@ -137,6 +138,8 @@ CLUBS = "club_analysis"
 AGES = "age_analysis"
 HISTORY = "transfer_history_scd2"
 COMMENTS = {
+    RAW: "Lines of all player files as they came",
+    SILVER: "Cleaned and validated players, latest version per key",
     RANKINGS: "Every player and edition, with ratings, values and derived columns",
     NATIONS: "Players and ratings per nation and edition",
     CLUBS: "Squad size, ratings, value and wages per club and edition",
@@ -155,6 +158,12 @@ GOLD_PROPERTIES = {"quality": "gold"}
 # ---------------------------------------------------------------------------
 
 ROWS_PER_FILE = 5_000_000
+_PUBLISHED = "number long, slots string"
+#: Which of two rows of one key and time stays.
+TIES = (
+    "ingested_at", "source_file", "player_name", "club_name", "league_name", "overall_rating",
+    "potential_rating", "market_value_eur", "weekly_wage_eur", "age", "positions",
+)
 
 PROFILE = Profile(
     required=REQUIRED,
@@ -171,27 +180,6 @@ PROFILE = Profile(
     version_column="silver_version",
 )
 
-# The stand-alone library works on rows that never passed the ingest step: it has
-# fewer columns, the later spellings, and the edition still as text.
-LIBRARY_PROFILE = replace(
-    PROFILE,
-    required=(
-        "sofifa_id", "short_name", "long_name", "age", "nationality_name", "club_name",
-        "league_name", "overall", "potential", "value_eur", "wage_eur", "player_positions",
-        "preferred_foot", "release_clause_eur", "fifa_version", "source_file", "ingested_at",
-    ),
-    casts={
-        "sofifa_id": "integer",
-        "overall": "integer",
-        "potential": "integer",
-        "age": "integer",
-        "value_eur": "double",
-        "wage_eur": "double",
-        "release_clause_eur": "double",
-        "fifa_version": "integer",
-    },
-)
-
 
 def cleaned(raw: DataFrame, at: datetime | None = None) -> DataFrame:
     """Raw rows, batch or stream, through the cleaning chain."""
@@ -203,6 +191,11 @@ def validated(rows: DataFrame, name: str = "players_rules") -> DataFrame:
     return enforce(rows, PROFILE.rules, name)
 
 
+def passing(rows: DataFrame) -> DataFrame:
+    """The same rows without counters, so that filters of ad-hoc reads pass below."""
+    return drop_failing(rows, PROFILE.rules)
+
+
 def rankings(silver: DataFrame) -> DataFrame:
     """All cleaned rows."""
     return silver
@@ -262,6 +255,7 @@ class PlayersLake:
 
     source: str
     root: str
+    bronze_layer: str = "bronze"
     silver_layer: str = "silver"
     gold_layer: str = "gold"
     new_columns: str = "add"
@@ -276,7 +270,7 @@ class PlayersLake:
     @property
     def silver(self) -> KeyedTable:
         return KeyedTable(
-            f"{self.root}/silver/{SILVER}", KEYS, PROFILE.time_column, partition_by=EDITION
+            f"{self.root}/silver/{SILVER}", KEYS, PROFILE.time_column, TIES, partition_by=EDITION
         )
 
     def run(self, spark: SparkSession) -> list[int]:
@@ -293,24 +287,30 @@ class PlayersLake:
         return upsert_available_now(stream, f"{self.silver.path}__checkpoint", self.silver)
 
     def publish(self, spark: SparkSession) -> list[int]:
-        """Bring the catalog tables up to date with the cleaned table.
+        """Bring the catalog tables up to date with the raw and the cleaned table.
 
-        The summaries and the rankings are recomputed for the editions that changed
-        since the last call, which is read off the tables themselves: the rankings
-        are written last, so a call that was cut short is made good by the next one.
+        The summaries and the rankings are recomputed for the editions of which a merge
+        wrote a slot since the last call: the versions of all slots are noted when a call
+        ends, so one that was cut short is made good by the next.
         The history compares editions with each other and is recomputed as a whole.
-        Returns the editions that changed.
+        New columns reach every table.  Returns the editions that changed.
         """
-        for layer in (self.silver_layer, self.gold_layer):
-            ensure_layer(spark, layer)
-        silver = self.silver.read(spark)
-        stale = self._stale_editions(spark, silver)
-        if not stale:
-            return stale
+        self._ensure_layers(spark)
+        raw = self.raw
         register_partitioned(
-            spark, f"{self.silver_layer}.{SILVER}", self.silver.path, silver.schema, EDITION,
-            "Cleaned and validated players, latest version per key", {"quality": "silver"},
+            spark, f"{self.bronze_layer}.{RAW}", raw.path, raw.stored_schema(spark), LOAD,
+            COMMENTS[RAW], {"quality": "bronze"},
         )
+        manifest = self.silver.manifest(spark)
+        known = self._published(spark)
+        slots = [s for s, version in manifest.slots.items() if known.get(s) != version]
+        stale = [int(e) for e in self.silver.partition_values(slots) if e is not None]
+        if not slots:
+            return stale
+        self.silver.register(
+            spark, f"{self.silver_layer}.{SILVER}", COMMENTS[SILVER], {"quality": "silver"}
+        )
+        silver = self.silver.read(spark)
         changed = silver.where(F.col(EDITION).isin(stale))
         summaries = {
             NATIONS: nation_performance(changed),
@@ -323,23 +323,31 @@ class PlayersLake:
                 kept = spark.table(name).where(~F.col(EDITION).isin(stale))
                 fresh = kept.unionByName(fresh)
             replace_table(fresh, name, self._folder(table), COMMENTS[table], GOLD_PROPERTIES)
-        history = self._folder(HISTORY)
-        save_files(transfer_history(silver), history)
-        save_table(spark.read.parquet(history), self._gold(HISTORY), comment=COMMENTS[HISTORY])
+        history = transfer_history(silver)
+        replace_table(history, self._gold(HISTORY), self._folder(HISTORY), COMMENTS[HISTORY])
         self._publish_rankings(spark, rankings(changed).hint("rebalance", EDITION))
-        return stale
+        self._note_published(spark, manifest)
+        return sorted(stale)
+
+    def _ensure_layers(self, spark: SparkSession) -> None:
+        layers = {"bronze": self.bronze_layer, "silver": self.silver_layer, "gold": self.gold_layer}
+        for folder, layer in layers.items():
+            ensure_layer(spark, layer, f"{self.root}/{folder}")
 
     def optimize(self, spark: SparkSession) -> None:
         """Cluster the five tables on the columns that filters use most."""
+        self.publish(spark)
         self.silver.optimize(spark, CLUSTER_BY[SILVER])
+        self.silver.register(spark, f"{self.silver_layer}.{SILVER}")
         silver = self.silver.read(spark)
-        spark.catalog.refreshTable(f"{self.silver_layer}.{SILVER}")
         rows = silver.count()
         by = [c for c in CLUSTER_BY[RANKINGS] if c != EDITION]
         files = max(1, ceil(rows / ROWS_PER_FILE))
         self._publish_rankings(spark, cluster(rankings(silver), by, files, rows, [EDITION]))
         for table in (NATIONS, CLUBS, AGES):
             optimize_table(spark, self._gold(table), CLUSTER_BY[table])
+        # the same rows in new files: nothing to publish
+        self._note_published(spark, self.silver.manifest(spark))
 
     def _publish_rankings(self, spark: SparkSession, rows: DataFrame) -> None:
         path = self._folder(RANKINGS)
@@ -349,16 +357,21 @@ class PlayersLake:
             COMMENTS[RANKINGS], GOLD_PROPERTIES,
         )
 
-    def _stale_editions(self, spark: SparkSession, silver: DataFrame) -> list[int]:
-        newest = F.max(PROFILE.time_column)
-        current = silver.groupBy(EDITION).agg(newest.alias("current"))
-        if spark.catalog.tableExists(self._gold(RANKINGS)):
-            known = spark.table(self._gold(RANKINGS)).groupBy(EDITION).agg(newest.alias("known"))
-            current = current.join(known, EDITION, "left").where(
-                ~F.col("current").eqNullSafe(F.col("known"))
-            )
-        # One row per edition.
-        return sorted(row[EDITION] for row in current.select(EDITION).collect())
+    def _published(self, spark: SparkSession) -> dict[str, str]:
+        """The versions of all slots when the last ``publish`` ended."""
+        if not exists(spark, self._published_path):
+            return {}
+        newest = spark.read.schema(_PUBLISHED).json(self._published_path)
+        row = newest.orderBy(F.desc("number")).first()
+        return {} if row is None else json.loads(row["slots"])
+
+    def _note_published(self, spark: SparkSession, manifest: Manifest) -> None:
+        line = spark.createDataFrame([(manifest.number, json.dumps(dict(manifest.slots)))], _PUBLISHED)
+        line.coalesce(1).write.mode("append").json(self._published_path)
+
+    @property
+    def _published_path(self) -> str:
+        return f"{self.root}/silver/{SILVER}__published"
 
     def _gold(self, table: str) -> str:
         return f"{self.gold_layer}.{table}"
@@ -376,7 +389,7 @@ class PlayersLake:
 
     def report(self, spark: SparkSession) -> dict[str, DataFrame]:
         """Row counts after a load: raw rows, raw rows per edition, history rows."""
-        raw = self.raw.read(spark)
+        raw = spark.table(f"{self.bronze_layer}.{RAW}")
         history = spark.table(self._gold(HISTORY))
         return {
             "raw_rows": row_count(raw),

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.operators.clean import (
@@ -16,7 +16,7 @@ from terrace.operators.clean import (
     standardize,
 )
 from terrace.operators.project import add_audit, rename, select_available, select_strict
-from terrace.operators.quality import drop_failing, enforce, quality_report
+from terrace.operators.quality import counter_rows, drop_failing, enforce, quality_report
 from terrace.operators.summary import summarize
 from terrace.plans.registry import query, table
 from terrace.profile import Aliased, Gap, Measure, Profile, Rule, Tier
@@ -320,3 +320,27 @@ def expect_warn(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def expect_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_report(_lines(spark, sf_dir), LINE_RULES)
+
+
+@query(
+    """
+    WITH counted AS (
+        SELECT count(*) AS n, count(*) FILTER (WHERE l_quantity BETWEEN 5 AND 45) AS a,
+               count(*) FILTER (WHERE l_returnflag IS NOT NULL AND length(l_returnflag) > 0) AS b,
+               count(*) FILTER (WHERE nullif(l_linestatus, 'F') = 'O') AS c,
+               count(*) FILTER (WHERE l_discount >= l_tax) AS d,
+               count(*) FILTER (WHERE nullif(l_returnflag, 'A') <> 'R') AS e
+        FROM lineitem
+    )
+    SELECT unnest(['rows', 'valid_quantity', 'valid_flag', 'open_line', 'discount_covers_tax',
+                   'not_returned']) AS rule,
+           unnest([n, n - a, n - b, n - c, n - d, n - e]) AS violations
+    FROM counted
+    """
+)
+def expect_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the counters of one pass saw, once the rows that passed are written."""
+    seen = Observation("line_rules")
+    rows = enforce(_lines(spark, sf_dir), LINE_RULES, seen)
+    rows.write.format("noop").mode("overwrite").save()
+    return counter_rows(spark, seen.get)

@@ -8,7 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.operators.clean import add_tiers
-from terrace.operators.explore import counts_by, load_report, row_count, top_rows, top_values
+from terrace.operators.explore import (
+    counts_by,
+    load_report,
+    preview,
+    row_count,
+    top_rows,
+    top_values,
+)
 from terrace.operators.history import change_history
 from terrace.operators.summary import summarize
 from terrace.operators.upsert import latest_by_key, upsert
@@ -193,6 +200,12 @@ def summary_by_tier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summarize(add_tiers(orders, [PRICE_TIER]), ["price_tier", "o_orderstatus"], measures)
 
 
+@query("SELECT * FROM region LIMIT 5")
+def preview_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The limit is the feature; the table has five rows, so that the answer is one."""
+    return preview(table(spark, sf_dir, "region"), 5)
+
+
 @query("SELECT count(*) AS row_count FROM events")
 def global_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return row_count(table(spark, sf_dir, "events"))

@@ -18,7 +18,7 @@ from terrace.sinks.keyed import KeyedTable
 from terrace.sinks.tables import ensure_layer, export_external, save_files, save_table
 from terrace.sources.delimited import read_by_header
 from terrace.sources.lineage import with_lineage
-from terrace.sources.tables import scan, stream_table
+from terrace.sources.tables import describe, scan, stream_table
 from terrace.streaming.ingest import RawTable
 from terrace.streaming.jobs import (
     append_available_now,
@@ -179,10 +179,11 @@ def stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         Measure("avg_value", "avg", "value", 6),
         Measure("max_value", "max", "value"),
     ]
-    root = scratch_path(spark, "summary")
-    summary = summarize(_stream(spark, sf_dir, "events"), ["event_type", "user_id"], measures)
-    summary_available_now(summary, f"{root}/checkpoint", f"{root}/summary")
-    return spark.read.parquet(f"{root}/summary")
+    root, groups = scratch_path(spark, "summary"), ("event_type", "user_id")
+    target = KeyedTable(f"{root}/summary", groups, "batch", partition_by="event_type")
+    summary = summarize(_stream(spark, sf_dir, "events"), groups, measures)
+    summary_available_now(summary, f"{root}/checkpoint", target)
+    return target.read(spark).drop("batch")
 
 
 @query("SELECT * FROM lineitem")
@@ -220,6 +221,31 @@ def external_export(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(spark, names[0])
 
 
+@query("SELECT * FROM supplier WHERE s_acctbal >= 0")
+def external_export_partitioned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The copy keeps the partitions, and a filter on them reads only these."""
+    layer, root = _layer(spark, "export_parts")
+    solvent = table(spark, sf_dir, "supplier").withColumn("solvent", F.col("s_acctbal") >= 0)
+    save_table(solvent, f"{layer}.supplier", partition_by=["solvent"])
+    names = export_external(spark, [(layer, "supplier", f"{root}_copies/supplier")])
+    return scan(spark, names[0]).where("solvent").drop("solvent")
+
+
+@query(
+    """
+    SELECT c.name AS col_name, c.type AS data_type FROM (VALUES
+        ('p_partkey', 'bigint'), ('p_name', 'string'), ('p_brand', 'string'), ('p_type', 'string'),
+        ('p_size', 'int'), ('p_retailprice', 'double')) AS c(name, type)
+    """
+)
+def describe_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns and types of a catalog table."""
+    layer, _ = _layer(spark, "describe")
+    save_table(table(spark, sf_dir, "part"), f"{layer}.part")
+    details = describe(spark, f"{layer}.part").select("col_name", "data_type")
+    return details.where(F.col("col_name").startswith("p_"))
+
+
 @query("SELECT * FROM supplier")
 def files_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_path(spark, 'files')}/supplier"

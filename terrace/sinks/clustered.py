@@ -66,7 +66,9 @@ def cluster(
     The range key ends with the columns themselves and a salt, so neither a frequent
     value nor a frequent combination has to fit into one task.
     """
-    bits = max(4, min(8, ceil(log2(max(files, 2)) / len(columns)) + 2))
+    # a few zones per file in every column; 12 bits of two columns part 16 million files, and within a
+    # zone the columns themselves go on ordering
+    bits = max(4, min(12, ceil(log2(max(files, 2)) / len(columns)) + 2))
     bounds = bucket_bounds(df, columns, bits, rows)
     plain = df.columns
     if salt is None:
@@ -128,6 +130,7 @@ def optimize_table(
     base = location.rstrip("/").split("__clustered_")[0]
     target = f"{base}__clustered_{uuid.uuid4().hex}"
     rewrite_clustered(spark, location, target, columns, rows_per_file)
-    spark.sql(f"ALTER TABLE {name} SET LOCATION '{target}'")
+    place = target.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"ALTER TABLE {name} SET LOCATION '{place}'")
     spark.catalog.refreshTable(name)
     return target

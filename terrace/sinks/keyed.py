@@ -1,39 +1,61 @@
 """A Parquet table that is updated by key, one batch at a time.
 
-The table is partitioned by one of its key columns, so a batch rewrites only the
-partitions that it touches.  A merge writes the new content of those partitions to a
-staging folder first and copies it over afterwards.  Whatever is found in a
-complete staging folder at the start of a merge was left by a run that stopped in
-between, and is copied again.  So no path is overwritten while it is
-read, a lost driver loses no row, and a replayed batch changes nothing.  There may
-be one writer at a time.
+The table is cut into slots: one per value of the partition column (if there is one) and hash
+bucket of the key.  A merge writes the new content of the slots that a batch touches into a folder
+of its own version and then a manifest that names the version of every slot; the manifest is
+what makes the merge visible.  No file is ever overwritten, so readers finish on what they
+started with, a run that stops half-way leaves an unused folder and an unchanged table, and
+a replayed batch changes nothing.  There may be one writer at a time.
+
+``path/data/version=V/[partition=P/]key_bucket=B`` holds a slot, ``path/manifest/N`` the manifests.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+import uuid
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from math import ceil
+from urllib.parse import unquote
 
-from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrace.files import folders, is_complete, remove
 from terrace.operators.upsert import latest_by_key, upsert
 from terrace.sinks.clustered import cluster
-from terrace.files import exists, is_complete, remove
-from terrace.sources.schema_log import load_schema, save_schema
+from terrace.sinks.tables import declare_table, grow_table, set_properties
+
+BUCKET = "key_bucket"
+VERSION = "version"
+_NULL = "__HIVE_DEFAULT_PARTITION__"
+_MANIFEST = "schema string, slots string"
+
+
+@dataclass(frozen=True)
+class Manifest:
+    """The schema of a table and the version of each slot."""
+
+    number: int
+    schema: T.StructType
+    slots: Mapping[str, str]
 
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """Where the table lives and how its rows are identified and ordered."""
+    """Where the table lives and how its rows are identified and ordered.
+
+    ``buckets`` is fixed with the first merge of a table.
+    """
 
     path: str
     keys: tuple[str, ...]
     sequence: str
     ties: tuple[str, ...] = ()
     partition_by: str | None = None
+    buckets: int = 4
 
     def __post_init__(self) -> None:
         if self.partition_by is not None and self.partition_by not in self.keys:
@@ -41,91 +63,158 @@ class KeyedTable:
 
     def read(self, spark: SparkSession) -> DataFrame:
         """The current content."""
-        return self._scan(spark, self.schema(spark), self.path)
+        manifest = self.manifest(spark)
+        return self._scan(spark, manifest, manifest.slots)
 
     def schema(self, spark: SparkSession) -> T.StructType:
-        found = load_schema(spark, self._schema_path)
+        return self.manifest(spark).schema
+
+    def manifest(self, spark: SparkSession) -> Manifest:
+        found = self._newest(spark)
         if found is None:
             raise ValueError(f"nothing was merged into {self.path} yet")
         return found
 
+    def partition_values(self, slots: Iterable[str]) -> list[str | None]:
+        """The partition values, as text, that ``slots`` belong to."""
+        names = {slot.split("/")[0].partition("=")[2] for slot in slots}
+        return sorted((None if n == _NULL else unquote(n) for n in names), key=str)
+
     def merge(self, changes: DataFrame) -> None:
         """Apply one batch of changes."""
         spark = changes.sparkSession
-        self._finish(spark)
-        newest = latest_by_key(changes, self.keys, self.sequence, self.ties)
-        if exists(spark, self.path):
-            # Written and not cached: the batch is computed once, survives lost
-            # executors, and is read back one column at a time.
-            newest.write.mode("overwrite").parquet(self._incoming_path)
-            incoming = self._scan(spark, newest.schema, self._incoming_path)
-            touched = self._touched(incoming)
-            if touched is not None:
-                current = self.read(spark).where(touched)
-                self._stage(upsert(current, incoming, self.keys, self.sequence, self.ties))
-            remove(spark, self._incoming_path)
-        else:
-            self._stage(newest)
-        self._finish(spark)
+        before = self._newest(spark)
+        newest = self._slotted(latest_by_key(changes, self.keys, self.sequence, self.ties))
+        if before is None:
+            self._publish(spark, newest, newest.drop(BUCKET).schema, 1, {})
+            return
+        # Written and not cached: the batch is computed once, survives lost executors, and
+        # its folders are the list of slots that it touches.
+        incoming = f"{self.path}/incoming-{uuid.uuid4().hex}"
+        newest.write.partitionBy(*self._levels).parquet(incoming)
+        touched = folders(spark, incoming, len(self._levels))
+        if touched:
+            batch = spark.read.schema(newest.schema).parquet(incoming).select(*changes.columns)
+            kept = {s: v for s, v in before.slots.items() if s in set(touched)}
+            current = self._scan(spark, before, kept)
+            merged = self._slotted(upsert(current, batch, self.keys, self.sequence, self.ties))
+            schema = merged.drop(BUCKET).schema
+            self._publish(spark, merged, schema, before.number + 1, before.slots)
+        remove(spark, incoming)
 
     def optimize(
         self, spark: SparkSession, columns: Sequence[str], rows_per_file: int = 5_000_000
     ) -> None:
-        """Rewrite all partitions, compacted and clustered on ``columns``."""
-        self._finish(spark)
-        current = self.read(spark)
+        """Rewrite all slots, compacted and clustered on ``columns``, as a new version."""
+        before = self.manifest(spark)
+        current = self._slotted(self._scan(spark, before, before.slots))
         rows = current.count()
         files = max(1, ceil(rows / rows_per_file))
-        parts = [] if self.partition_by is None else [self.partition_by]
-        self._writer(cluster(current, columns, files, rows, parts)).parquet(self._staging_path)
-        self._finish(spark)
-
-    def _finish(self, spark: SparkSession) -> None:
-        """Copy a complete staging folder over the table."""
-        if is_complete(spark, self._staging_path):
-            staged = self._scan(spark, self.schema(spark), self._staging_path)
-            self._writer(staged, "dynamic").parquet(self.path)
-            remove(spark, self._staging_path)
-
-    def _stage(self, df: DataFrame) -> None:
-        save_schema(df.sparkSession, self._schema_path, df.schema)
-        if self.partition_by is not None:
-            # Few files per partition, while a large partition still gets many tasks.
-            df = df.hint("rebalance", self.partition_by)
-        self._writer(df).parquet(self._staging_path)
-
-    def _touched(self, changes: DataFrame) -> Column | None:
-        """A filter on the partitions that ``changes`` touch; ``None`` if it is empty."""
-        if self.partition_by is None:
-            return None if changes.isEmpty() else F.lit(True)
-        # One value per partition folder, so the list is as small as the folder list.
-        found = changes.select(self.partition_by).distinct().collect()
-        if not found:
-            return None
-        values = [row[0] for row in found if row[0] is not None]
-        touched = F.col(self.partition_by).isin(values)
-        if len(values) < len(found):
-            touched = touched | F.col(self.partition_by).isNull()
-        return touched
-
-    def _writer(self, df: DataFrame, overwrite: str = "static") -> DataFrameWriter:
-        writer = df.write.mode("overwrite")
-        if self.partition_by is None:
-            return writer
-        return writer.option("partitionOverwriteMode", overwrite).partitionBy(self.partition_by)
-
-    @staticmethod
-    def _scan(spark: SparkSession, schema: T.StructType, path: str) -> DataFrame:
-        return spark.read.schema(schema).parquet(path).select(*schema.fieldNames())
-
-    @property
-    def _incoming_path(self) -> str:
-        return f"{self.path}__incoming"
-
-    @property
-    def _staging_path(self) -> str:
-        return f"{self.path}__staging"
+        clustered = cluster(current, columns, files, rows, self._levels)
+        self._publish(spark, clustered, before.schema, before.number + 1, {}, laid_out=True)
+
+    def drop_unused(self, spark: SparkSession, keep: int = 2) -> None:
+        """Remove versions that none of the ``keep`` newest manifests names."""
+        numbers = self._numbers(spark)[-keep:]
+        used = {v for n in numbers for v in self._load(spark, n).slots.values()}
+        for folder in folders(spark, f"{self.path}/data"):
+            if folder.partition("=")[2] not in used:
+                remove(spark, f"{self.path}/data/{folder}")
+
+    def register(
+        self,
+        spark: SparkSession,
+        name: str,
+        comment: str | None = None,
+        properties: Mapping[str, str] | None = None,
+    ) -> None:
+        """A catalog view ``name`` over a table of slots, ``name__slots``, as of the newest manifest."""
+        manifest = self.manifest(spark)
+        slots = f"{name}__slots"
+        stored = T.StructType([*manifest.schema.fields, T.StructField(BUCKET, T.IntegerType())])
+        data = f"{self.path}/data"
+        declare_table(spark, slots, stored, comment, properties, data, partition_by=self._levels)
+        grow_table(spark, slots, stored)
+        known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {slots}").collect()}
+        for slot, version in manifest.slots.items():
+            spec = ", ".join(_spec(level) for level in slot.split("/"))
+            place = f"{data}/{VERSION}={version}/{slot}".replace("'", "\\'")
+            if slot in known:
+                spark.sql(f"ALTER TABLE {slots} PARTITION ({spec}) SET LOCATION '{place}'")
+            else:
+                spark.sql(f"ALTER TABLE {slots} ADD PARTITION ({spec}) LOCATION '{place}'")
+        spark.catalog.refreshTable(slots)
+        columns = ", ".join(f"`{c}`" for c in manifest.schema.fieldNames())
+        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {slots}")
+        set_properties(spark, slots, comment, properties)
 
     @property
-    def _schema_path(self) -> str:
-        return f"{self.path}__schema"
+    def _levels(self) -> list[str]:
+        return [BUCKET] if self.partition_by is None else [self.partition_by, BUCKET]
+
+    def _slotted(self, df: DataFrame) -> DataFrame:
+        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
+        return df.withColumn(BUCKET, bucket)
+
+    def _publish(
+        self,
+        spark: SparkSession,
+        rows: DataFrame,
+        schema: T.StructType,
+        number: int,
+        before: Mapping[str, str],
+        laid_out: bool = False,
+    ) -> None:
+        """Write ``rows`` as a version and then the manifest in which it replaces its slots."""
+        version = f"v{number}-{uuid.uuid4().hex}"
+        folder = f"{self.path}/data/{VERSION}={version}"
+        if not laid_out:
+            # Few files per slot, while a large slot still gets many tasks.
+            rows = rows.hint("rebalance", *self._levels)
+        rows.write.partitionBy(*self._levels).parquet(folder)
+        written = folders(spark, folder, len(self._levels))
+        self._commit(spark, number, schema, {**before, **dict.fromkeys(written, version)})
+
+    def _commit(
+        self, spark: SparkSession, number: int, schema: T.StructType, slots: Mapping[str, str]
+    ) -> None:
+        row = [(schema.json(), json.dumps(dict(slots)))]
+        lines = spark.createDataFrame(row, _MANIFEST).coalesce(1)
+        # a folder without its success mark is a manifest that was never finished
+        lines.write.mode("overwrite").json(f"{self.path}/manifest/{number:010d}")
+
+    def _numbers(self, spark: SparkSession) -> list[int]:
+        found = folders(spark, f"{self.path}/manifest")
+        return [int(n) for n in found if is_complete(spark, f"{self.path}/manifest/{n}")]
+
+    def _newest(self, spark: SparkSession) -> Manifest | None:
+        numbers = self._numbers(spark)
+        return self._load(spark, numbers[-1]) if numbers else None
+
+    def _load(self, spark: SparkSession, number: int) -> Manifest:
+        row = spark.read.schema(_MANIFEST).json(f"{self.path}/manifest/{number:010d}").first()
+        schema = T.StructType.fromJson(json.loads(row["schema"]))
+        return Manifest(number, schema, json.loads(row["slots"]))
+
+    def _scan(self, spark: SparkSession, manifest: Manifest, slots: Mapping[str, str]) -> DataFrame:
+        names = manifest.schema.fieldNames()
+        if not slots:
+            return spark.createDataFrame([], manifest.schema)
+        placed = T.StructType(
+            [
+                *manifest.schema.fields,
+                T.StructField(VERSION, T.StringType()),
+                T.StructField(BUCKET, T.IntegerType()),
+            ]
+        )
+        data = f"{self.path}/data"
+        paths = [f"{data}/{VERSION}={version}/{slot}" for slot, version in slots.items()]
+        return spark.read.schema(placed).option("basePath", data).parquet(*paths).select(*names)
+
+
+def _spec(level: str) -> str:
+    name, _, value = level.partition("=")
+    if value == _NULL:
+        return f"`{name}` = null"
+    text = unquote(value).replace("\\", "\\\\").replace("'", "\\'")
+    return f"`{name}` = '{text}'"

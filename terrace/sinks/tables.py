@@ -27,13 +27,26 @@ def declare_table(
     comment: str | None = None,
     properties: Mapping[str, str] | None = None,
     path: str | None = None,
+    partition_by: Sequence[str] = (),
 ) -> None:
-    """Create an empty table for a stream or an upsert to fill, unless it exists."""
-    if not spark.catalog.tableExists(name):
-        spark.catalog.createTable(
-            name, path=path, source="parquet", schema=schema, description=comment
-        )
-    set_properties(spark, name, None, properties)
+    """Create an empty table for a stream or an upsert to fill, unless it exists.
+
+    Catalog tables list partition columns last.
+    """
+    parts = f" PARTITIONED BY ({', '.join(f'`{c}`' for c in partition_by)})" if partition_by else ""
+    place = f" LOCATION '{_quoted(path)}'" if path else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING parquet{parts}{place}")
+    set_properties(spark, name, comment, properties)
+
+
+def grow_table(spark: SparkSession, name: str, schema: T.StructType) -> list[str]:
+    """Add the columns of ``schema`` that a table lacks; rows of older files have nulls there."""
+    known = {c.lower() for c in spark.table(name).columns}
+    added = [f for f in schema.fields if f.name.lower() not in known]
+    if added:
+        columns = T.StructType([T.StructField(f.name, f.dataType) for f in added]).toDDL()
+        spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({columns})")
+    return [f.name for f in added]
 
 
 def save_table(
@@ -86,6 +99,7 @@ def replace_table(
     df.write.parquet(path)
     if spark.catalog.tableExists(name):
         spark.sql(f"ALTER TABLE {name} SET LOCATION '{_quoted(path)}'")
+        grow_table(spark, name, df.schema)
         spark.catalog.refreshTable(name)
     else:
         spark.catalog.createTable(name, path=path, source="parquet", schema=df.schema)
@@ -116,10 +130,8 @@ def register_partitioned(
 
     Catalog tables list the partition column last.
     """
-    spark.sql(
-        f"CREATE TABLE IF NOT EXISTS {name} ({schema.toDDL()}) USING parquet "
-        f"PARTITIONED BY ({column}) LOCATION '{_quoted(path)}'"
-    )
+    declare_table(spark, name, schema, path=path, partition_by=[column])
+    grow_table(spark, name, schema)
     spark.catalog.recoverPartitions(name)
     spark.catalog.refreshTable(name)
     set_properties(spark, name, comment, properties)
@@ -133,11 +145,25 @@ def save_files(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 def export_external(
     spark: SparkSession, exports: Iterable[tuple[str, str, str]], suffix: str = "_external"
 ) -> list[str]:
-    """For each (schema, table, path) replace ``<table>_external`` by a full copy at path."""
+    """For each (schema, table, path) point ``<table>_external`` at a new full copy below path.
+
+    A copy keeps the partitioning of its table.  It is written to a folder of its own before the
+    table is pointed there, so the old copy can be read until then, and stays on storage.
+    """
     names = []
     for schema, table, path in exports:
-        name = f"{schema}.{table}{suffix}"
-        save_table(spark.table(f"{schema}.{table}"), name, path=path)
+        source, name = f"{schema}.{table}", f"{schema}.{table}{suffix}"
+        parts = [c.name for c in spark.catalog.listColumns(source) if c.isPartition]
+        rows, place = spark.table(source), f"{path}/{uuid.uuid4().hex}"
+        if parts:
+            rows = rows.hint("rebalance", *parts)
+        rows.write.partitionBy(*parts).parquet(place)
+        if spark.catalog.tableExists(name):
+            # external: the files of the old copy stay
+            spark.sql(f"DROP TABLE {name}")
+        declare_table(spark, name, rows.schema, path=place, partition_by=parts)
+        if parts:
+            spark.catalog.recoverPartitions(name)
         names.append(name)
     return names
 

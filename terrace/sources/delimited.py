@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from terrace.files import first_lines
 from terrace.sources.lineage import with_lineage
 from terrace.sources.schema_log import union_types
 
@@ -36,16 +37,26 @@ def list_files(spark: SparkSession, path: str, glob: str = "*.csv") -> list[str]
 def header_groups(
     spark: SparkSession, paths: Sequence[str], options: Mapping[str, str] | None = None
 ) -> dict[tuple[str, ...], list[str]]:
-    """Paths by header.  Only the first line of each file is read, many at a time."""
+    """Paths by header.
+
+    The first line of each file is read without a Spark job; a header must fit into it.
+    Spark parses one file for each distinct first line.
+    """
+    settings = _options(options)
+    charset = settings.get("encoding", settings.get("charset", "UTF-8"))
+    by_line: dict[str, list[str]] = {}
+    for path, line in zip(paths, first_lines(spark, paths, charset), strict=True):
+        if line:
+            by_line.setdefault(line, []).append(path)
 
     def header(path: str) -> tuple[str, ...]:
-        return tuple(spark.read.options(**_options(options)).csv(path).columns)
+        return tuple(spark.read.options(**settings).csv(path).columns)
 
     groups: dict[tuple[str, ...], list[str]] = {}
     with ThreadPoolExecutor(max_workers=16) as pool:
-        for path, columns in zip(paths, pool.map(header, paths)):
+        for same, columns in zip(by_line.values(), pool.map(header, (p[0] for p in by_line.values()))):
             if columns:
-                groups.setdefault(columns, []).append(path)
+                groups.setdefault(columns, []).extend(same)
     return groups
 
 

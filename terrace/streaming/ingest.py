@@ -73,6 +73,10 @@ class RawTable:
             raise ValueError(f"nothing was loaded into {self.path} yet")
         return found
 
+    def stored_schema(self, spark: SparkSession) -> T.StructType:
+        """Columns of the table, with the load folder last."""
+        return _stored(self.schema(spark))
+
     def read(self, spark: SparkSession) -> DataFrame:
         """The whole table."""
         schema = self.schema(spark)

@@ -7,6 +7,7 @@ nothing.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from terrace.sinks.keyed import KeyedTable
@@ -32,19 +33,20 @@ def upsert_available_now(stream: DataFrame, checkpoint: str, target: KeyedTable)
     return query
 
 
-def summary_available_now(summary: DataFrame, checkpoint: str, path: str) -> StreamingQuery:
-    """Keep a grouped summary of an append-only stream at ``path``.
+def summary_available_now(summary: DataFrame, checkpoint: str, target: KeyedTable) -> StreamingQuery:
+    """Keep a grouped summary of an append-only stream in ``target``, keyed by the groups.
 
-    The groups are Spark's streaming state; after each micro-batch the whole (small)
-    result replaces the files.  Over a table whose rows change, recompute the
-    summary from the table instead: a stream would count a changed row twice.
+    The groups are Spark's streaming state.  Each micro-batch merges only the groups that it
+    changed, with its number as the sequence column of ``target``; the result before it stays
+    readable throughout.  Over a table whose rows change, recompute the summary from
+    the table instead: a stream would count a changed row twice.
     """
 
-    def replace(result: DataFrame, _: int) -> None:
-        result.write.mode("overwrite").parquet(path)
+    def merge(changed: DataFrame, batch_id: int) -> None:
+        target.merge(changed.withColumn(target.sequence, F.lit(batch_id).cast("long")))
 
-    writer = _available_now(summary, checkpoint).outputMode("complete")
-    query = writer.foreachBatch(replace).start()
+    writer = _available_now(summary, checkpoint).outputMode("update")
+    query = writer.foreachBatch(merge).start()
     query.awaitTermination()
     return query
 

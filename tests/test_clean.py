@@ -21,7 +21,6 @@ from terrace.plans.players import (
     AGE_TIER,
     ALIASES,
     DEFAULTS,
-    LIBRARY_PROFILE,
     PROFILE,
     RATING_GAP,
     RENAMES,
@@ -31,25 +30,29 @@ from terrace.plans.players import (
 )
 from terrace.profile import Aliased, Tier
 
+# Three rows of our own: one tidy, one with padding and holes, one with text where numbers belong.
 RAW = {
-    "sofifa_id": ("158023", "20801"),
-    "short_name": (" A. Lind ", " Bo Ferro"),
-    "long_name": ("Ada Lind", "Bo Ferro Costa"),
-    "age": ("35", "37"),
-    "nationality_name": (" Norland ", " Sudland "),
-    "club_name": (None, " Harbour Town "),
-    "league_name": (None, " First League "),
-    "overall": ("91", "90"),
-    "potential": ("91", "90"),
-    "value_eur": ("55000000.0", "45000000.0"),
-    "wage_eur": ("320000.0", "350000.0"),
-    "player_positions": ("CF,RW", "ST,LW"),
-    "preferred_foot": (" left ", " right "),
-    "release_clause_eur": ("120000000.0", "95000000.0"),
-    "fifa_version": ("22", "22"),
-    "source_file": ("players_22.csv", "players_22.csv"),
-    "ingested_at": ("2024-01-01", "2024-01-01"),
-    "extra_col": ("x", "y"),
+    "sofifa_id": ("7", "4001", "88"),
+    "short_name": ("Ilse Maro", "  T. Okoye  ", "Wen"),
+    "long_name": ("Ilse Maro", "Tunde Okoye", None),
+    "age": ("19", "28.0", "unknown"),
+    "height_cm": ("171", None, "180"),
+    "weight_kg": (None, "77", "seventy"),
+    "nationality": (None, "  Westmark", "Ostra "),
+    "club": ("Quarry Rovers ", None, None),
+    "league_name": ("Second Division", None, " Cup League"),
+    "overall": ("64", "77", None),
+    "potential": ("82", "76", "70"),
+    "value_eur": ("1500000", "20000000", "-"),
+    "wage_eur": (None, "48500.5", "900"),
+    "player_positions": ("GK", "CB, LB", "CM"),
+    "preferred_foot": ("Left", " right", None),
+    "international_reputation": ("1", "2", "1"),
+    "release_clause_eur": ("3100000", None, None),
+    "fifa_version": ("17", "18", "18"),
+    "source_file": ("a.csv", "b.csv", "b.csv"),
+    "ingested_at": ("2023-03-03", "2023-03-04", "2023-03-04"),
+    "shirt": ("1", "5", "8"),
 }
 
 
@@ -72,75 +75,64 @@ def raw(spark):
 
 @pytest.fixture(scope="module")
 def chained(spark):
-    columns = {k: v for k, v in RAW.items() if k != "extra_col"}
-    found = clean(rows(spark, columns), LIBRARY_PROFILE, select=None)
+    columns = {k: v for k, v in RAW.items() if k != "shirt"}
+    found = clean(rows(spark, columns), PROFILE, select=None)
     return found.columns, {r["player_id"]: r for r in found.collect()}
 
 
 # --- select -----------------------------------------------------------------
 
-
-def test_strict_select_drops_extras_and_keeps_order(raw):
-    assert select_strict(raw, LIBRARY_PROFILE.required).columns == list(LIBRARY_PROFILE.required)
+WANTED = ("overall", "age", "short_name")
 
 
-def test_strict_select_keeps_values(raw):
-    found = select_strict(raw, LIBRARY_PROFILE.required).first()
-    assert (found["sofifa_id"], found["short_name"]) == ("158023", " A. Lind ")
+def test_strict_select_drops_extras_and_keeps_order(raw):
+    assert select_strict(raw, WANTED).columns == list(WANTED)
 
 
-def test_strict_select_keeps_row_count(raw):
-    assert select_strict(raw, LIBRARY_PROFILE.required).count() == 2
+def test_strict_select_keeps_rows_and_values(raw):
+    found = [tuple(r) for r in select_strict(raw, WANTED).collect()]
+    assert found == list(zip(*(RAW[c] for c in WANTED), strict=True))
 
 
 def test_strict_select_names_the_missing_column(raw):
-    with pytest.raises(ValueError, match="overall"):
-        select_strict(raw.drop("overall"), LIBRARY_PROFILE.required)
+    with pytest.raises(ValueError, match="league_name"):
+        select_strict(raw.drop("league_name"), ["age", "league_name"])
 
 
 def test_available_select_skips_absent_columns(raw):
-    found = select_available(raw, ["overall", "nowhere", "age"])
-    assert found.columns == ["overall", "age"]
+    assert select_available(raw, ["shirt", "nowhere", "club"]).columns == ["shirt", "club"]
 
 
 def test_available_select_keeps_every_spelling(raw):
-    found = select_available(raw, PROFILE.required, PROFILE.aliases).columns
-    assert "club_name" in found and "nationality_name" in found and "extra_col" not in found
+    both = raw.withColumn("club_name", F.lit("x"))
+    found = select_available(both, PROFILE.required, PROFILE.aliases).columns
+    assert {"club", "club_name"} <= set(found) and "shirt" not in found
 
 
 # --- casts ------------------------------------------------------------------
 
 
-@pytest.mark.parametrize(
-    "column, expected",
-    [
-        ("sofifa_id", T.IntegerType()),
-        ("overall", T.IntegerType()),
-        ("potential", T.IntegerType()),
-        ("age", T.IntegerType()),
-        ("fifa_version", T.IntegerType()),
-        ("value_eur", T.DoubleType()),
-        ("wage_eur", T.DoubleType()),
-        ("release_clause_eur", T.DoubleType()),
-    ],
-)
-def test_cast_types(raw, column, expected):
-    assert apply_casts(raw, LIBRARY_PROFILE.casts).schema[column].dataType == expected
+TYPES = {"integer": T.IntegerType(), "double": T.DoubleType()}
+
+
+@pytest.mark.parametrize("column, kind", PROFILE.casts.items())
+def test_cast_types(raw, column, kind):
+    assert apply_casts(raw, PROFILE.casts).schema[column].dataType == TYPES[kind]
 
 
 def test_cast_values(raw):
-    found = apply_casts(raw, LIBRARY_PROFILE.casts).first()
-    assert (found["sofifa_id"], found["overall"], found["value_eur"]) == (158023, 91, 55_000_000.0)
+    found = [tuple(r) for r in apply_casts(raw, PROFILE.casts).select("age", "wage_eur", "weight_kg").collect()]
+    assert found == [(19, None, None), (28, 48500.5, 77), (None, 900.0, None)]
 
 
 def test_cast_ignores_absent_columns(spark):
-    found = apply_casts(rows(spark, {"overall": ("80",)}), LIBRARY_PROFILE.casts)
-    assert found.columns == ["overall"] and found.first()[0] == 80
+    found = apply_casts(rows(spark, {"age": ("31",), "x": ("y",)}), PROFILE.casts)
+    assert found.columns == ["age", "x"] and tuple(found.first()) == (31, "y")
 
 
-def test_cast_of_malformed_text_is_null(spark):
-    found = apply_casts(rows(spark, {"overall": ("not_a_number",)}), LIBRARY_PROFILE.casts)
-    assert found.first()[0] is None
+@pytest.mark.parametrize("text", ["-", "seventy", "12 kg"])
+def test_cast_of_other_text_is_null(spark, text):
+    assert apply_casts(rows(spark, {"height_cm": (text,)}), PROFILE.casts).first()[0] is None
 
 
 TEXTS = [
@@ -176,35 +168,17 @@ def test_number_in_text_without_a_match_is_null(spark):
 
 # --- rename -----------------------------------------------------------------
 
-RENAMED = {
-    "sofifa_id": "player_id",
-    "short_name": "player_name",
-    "long_name": "player_full_name",
-    "nationality_name": "nationality",
-    "overall": "overall_rating",
-    "potential": "potential_rating",
-    "value_eur": "market_value_eur",
-    "wage_eur": "weekly_wage_eur",
-    "player_positions": "positions",
-}
-
-
-@pytest.mark.parametrize("old, new", RENAMED.items())
-def test_rename_replaces_the_name(raw, old, new):
-    found = rename(raw, RENAMES, ALIASES).columns
-    assert new in found and old not in found
-
-
-@pytest.mark.parametrize("old, new", RENAMED.items())
-def test_rename_keeps_the_values(raw, old, new):
-    found = rename(raw, RENAMES, ALIASES).select(new).collect()
-    assert [r[0] for r in found] == list(RAW[old])
+@pytest.mark.parametrize("old, new", RENAMES.items())
+def test_rename_replaces_the_name_and_keeps_values(raw, old, new):
+    found = rename(raw, RENAMES, ALIASES)
+    assert old not in found.columns
+    assert [r[0] for r in found.select(new).collect()] == list(RAW[old])
 
 
 def test_rename_keeps_column_positions(raw):
-    assert rename(raw, RENAMES, ALIASES).columns[:5] == [
-        "player_id", "player_name", "player_full_name", "age", "nationality",
-    ]
+    found = rename(raw, RENAMES, ALIASES).columns
+    names = {**RENAMES, "club": "club_name"}
+    assert found == [names.get(c, c) for c in RAW]
 
 
 def test_rename_of_the_early_spelling(spark):
@@ -259,45 +233,32 @@ def test_other_values_stay(spark, column, default):
 # --- derived columns --------------------------------------------------------
 
 
-@pytest.mark.parametrize(
-    "value, label",
-    [
-        (50_000_000, "World Class"), (55_000_000, "World Class"),
-        (20_000_000, "Elite"), (35_000_000, "Elite"), (49_999_999, "Elite"),
-        (5_000_000, "Good"), (10_000_000, "Good"),
-        (1_000_000, "Average"), (3_000_000, "Average"),
-        (999_999, "Budget"), (0, "Budget"), (-1, "Budget"), (None, "Budget"),
-    ],
-)
-def test_value_tier(spark, value, label):
-    amount = None if value is None else float(value)
-    found = add_tiers(rows(spark, {"market_value_eur": (T.DoubleType(), (amount,))}), [VALUE_TIER])
-    assert found.first()["value_category"] == label
+def around(tier):
+    """Values at, just below and just above each bound of a tier, with their labels."""
+    higher = tier.op == ">="
+    cases = {None: tier.otherwise}
+    for bound, _ in tier.steps:
+        for value in (bound - 1, bound, bound + 1):
+            inside = [label for b, label in tier.steps if (value >= b if higher else value < b)]
+            cases[value] = inside[0] if inside else tier.otherwise
+    return list(cases.items())
 
 
 @pytest.mark.parametrize(
-    "age, label",
-    [
-        (17, "U21 Prospect"), (20, "U21 Prospect"), (21, "Young"), (24, "Young"),
-        (25, "Prime"), (29, "Prime"), (30, "Experienced"), (32, "Experienced"),
-        (33, "Veteran"), (40, "Veteran"), (None, "Veteran"),
-    ],
+    "tier, value, label", [(t, v, x) for t in (VALUE_TIER, AGE_TIER) for v, x in around(t)]
 )
-def test_age_tier(spark, age, label):
-    found = add_tiers(rows(spark, {"age": (T.IntegerType(), (age,))}), [AGE_TIER])
-    assert found.first()["age_group"] == label
+def test_tiers_at_their_bounds(spark, tier, value, label):
+    number = None if value is None else float(value)
+    found = add_tiers(rows(spark, {tier.source: (T.DoubleType(), (number,))}), [tier])
+    assert found.first()[tier.target] == label
 
 
-@pytest.mark.parametrize("potential, overall, gap", [(90, 80, 10), (91, 91, 0), (85, 87, -2), (85, None, None)])
-def test_rating_gap(spark, potential, overall, gap):
-    ratings = rows(
-        spark,
-        {
-            "potential_rating": (T.IntegerType(), (potential,)),
-            "overall_rating": (T.IntegerType(), (overall,)),
-        },
-    )
-    assert add_gaps(ratings, [RATING_GAP]).first()["rating_gap"] == gap
+@pytest.mark.parametrize("high", [None, 0, 41, 99])
+@pytest.mark.parametrize("low", [None, 0, 50])
+def test_rating_gap(spark, high, low):
+    columns = {RATING_GAP.high: (T.IntegerType(), (high,)), RATING_GAP.low: (T.IntegerType(), (low,))}
+    found = add_gaps(rows(spark, columns), [RATING_GAP]).first()[RATING_GAP.target]
+    assert found == (None if None in (high, low) else high - low)
 
 
 def test_derived_columns_name_their_missing_input(spark):
@@ -332,46 +293,40 @@ def test_audit_with_a_fixed_time(spark):
 
 # --- the whole chain --------------------------------------------------------
 
-LIND, FERRO = 158023, 20801
+CHAIN = {
+    7: {
+        "player_name": "Ilse Maro", "club_name": "Quarry Rovers", "nationality": None,
+        "weekly_wage_eur": 0.0, "release_clause_eur": 3_100_000.0, "value_category": "Average",
+        "age_group": "U21 Prospect", "rating_gap": 18, "preferred_foot": "LEFT",
+    },
+    4001: {
+        "player_name": "T. Okoye", "club_name": "Free Agent", "league_name": "Unknown",
+        "nationality": "Westmark", "age": 28, "weekly_wage_eur": 48_500.5, "value_category": "Elite",
+        "age_group": "Prime", "rating_gap": -1, "height_cm": None, "preferred_foot": "RIGHT",
+    },
+    88: {
+        "player_full_name": None, "age": None, "age_group": "Veteran", "market_value_eur": 0.0,
+        "value_category": "Budget", "overall_rating": None, "rating_gap": None, "preferred_foot": None,
+        "league_name": "Cup League", "weight_kg": None, "silver_version": "1.0",
+    },
+}
 
 
-def test_chain_keeps_row_count(chained):
-    assert set(chained[1]) == {LIND, FERRO}
+def test_chain_keeps_every_row(chained):
+    assert set(chained[1]) == set(CHAIN)
 
 
-@pytest.mark.parametrize(
-    "player, column, expected",
-    [
-        (LIND, "player_name", "A. Lind"),
-        (LIND, "nationality", "Norland"),
-        (LIND, "club_name", "Free Agent"),
-        (LIND, "league_name", "Unknown"),
-        (LIND, "preferred_foot", "LEFT"),
-        (LIND, "overall_rating", 91),
-        (LIND, "market_value_eur", 55_000_000.0),
-        (LIND, "value_category", "World Class"),
-        (LIND, "age_group", "Veteran"),
-        (LIND, "rating_gap", 0),
-        (LIND, "fifa_version", 22),
-        (FERRO, "player_name", "Bo Ferro"),
-        (FERRO, "club_name", "Harbour Town"),
-        (FERRO, "league_name", "First League"),
-        (FERRO, "preferred_foot", "RIGHT"),
-        (FERRO, "value_category", "Elite"),
-        (FERRO, "age_group", "Veteran"),
-        (FERRO, "silver_version", "1.0"),
-    ],
-)
-def test_chain_values(chained, player, column, expected):
-    assert chained[1][player][column] == expected
+@pytest.mark.parametrize("player", CHAIN)
+def test_chain_values(chained, player):
+    assert {c: chained[1][player][c] for c in CHAIN[player]} == CHAIN[player]
 
 
 def test_chain_stamps_every_row(chained):
     assert all(r["processed_at"] is not None for r in chained[1].values())
 
 
-def test_strict_chain_drops_extras(raw):
-    assert "extra_col" not in clean(raw, LIBRARY_PROFILE, select="strict").columns
+def test_strict_chain_drops_extras_and_needs_all(raw):
+    assert "shirt" not in clean(raw, replace(PROFILE, aliases=()), select="strict").columns
 
 
 def test_pipeline_chain_has_the_published_columns(spark):

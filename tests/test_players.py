@@ -1,6 +1,9 @@
 """The whole pipeline from CSV files to published tables, over several deliveries."""
 
+from pathlib import Path
+
 import pytest
+from pyspark.sql import functions as F
 
 from terrace.plans import players
 from terrace.plans.players import PlayersLake
@@ -82,7 +85,6 @@ def test_history(spark, lake):
         (1, "A", 2015, 2016, False), (1, "B", 2017, None, True),
         (2, "Free Agent", 2015, 2016, False), (2, "B", 2016, None, True),
     ]
-    assert spark.read.parquet(f"{lake.root}/gold/{players.HISTORY}").count() == 4
 
 
 def test_exploration(spark, lake):
@@ -101,14 +103,65 @@ def test_report(spark, lake):
     assert report["history_rows"] == [(4,)] and report["current_rows"] == [(2,)]
 
 
-def test_interrupted_publish_is_made_good(spark, lake, monkeypatch, tmp_path):
-    with monkeypatch.context() as patched:
-        patched.setattr(PlayersLake, "_publish_rankings", lambda *_: None)
-        (tmp_path / "x").write_text("")
-        from pathlib import Path
+def test_raw_table_and_layers(spark, lake):
+    assert spark.table(f"bronze.{players.RAW}").count() == 7
+    for layer in ("bronze", "silver", "gold"):
+        assert spark.catalog.getDatabase(layer).locationUri.endswith(f"{lake.root}/{layer}")
+
+
+def test_new_columns_reach_every_table_and_late_rows_are_published(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lake = PlayersLake(str(tmp_path / "in"), str(tmp_path / "lake"), "grown_b", "grown_s", "grown_g")
+    lacking = ("height_cm,", "weight_kg,", "international_reputation,")
+    header = EARLY
+    for name in lacking:
+        header = header.replace(name, "")
+    short = '7,Name 7,Long,25,Norland,A,,80,85,6000000,100,"RW, ST",left,,x\n'
+    (tmp_path / "in" / "players_15.csv").write_text(header + short)
+    assert lake.run(spark) == [15]
+    tables = (f"grown_s.{players.SILVER}", f"grown_g.{players.RANKINGS}")
+    assert {len(spark.table(t).columns) for t in tables} == {22}
+    (tmp_path / "in" / "players_16.csv").write_text(EARLY + line(7, "B"))
+    assert lake.run(spark) == [16]
+    for t in tables:
+        assert len(spark.table(t).columns) == 25
+        assert {r["fifa_version"]: r["height_cm"] for r in spark.table(t).collect()} == {15: None, 16: 180}
+    # a new player with an earlier time than all that is there
+    late = lake.silver.read(spark).where("fifa_version = 16").withColumns(
+        {"player_id": F.lit(8), "processed_at": F.lit("2001-01-01").cast("timestamp")}
+    )
+    lake.silver.merge(late)
+    assert lake.publish(spark) == [16] and lake.publish(spark) == []
+    assert spark.table(tables[1]).count() == 3
+    nations = spark.table(f"grown_g.{players.NATIONS}").where("fifa_version = 16")
+    assert nations.first()["player_count"] == 2
+
+
+def test_equal_times_have_one_winner(spark, tmp_path):
+    found = set()
+    for n, order in enumerate(((1, 2), (2, 1))):
+        (tmp_path / f"in{n}").mkdir()
+        lake = PlayersLake(str(tmp_path / f"in{n}"), str(tmp_path / f"lake{n}"))
+        lines = {1: line(5, "A"), 2: line(5, "B")}
+        (tmp_path / f"in{n}" / "players_15.csv").write_text(EARLY + "".join(lines[i] for i in order))
+        lake.ingest(spark)
+        lake.upsert(spark)
+        found.add(lake.silver.read(spark).first()["club_name"])
+    assert found == {"B"}
 
+
+def test_interrupted_publish_is_made_good(spark, lake, monkeypatch):
+    class Stopped(Exception):
+        pass
+
+    def stop(*_):
+        raise Stopped
+
+    with monkeypatch.context() as patched:
+        patched.setattr(PlayersLake, "_publish_rankings", stop)
         Path(lake.source, "players_18.csv").write_text(LATE + line(3, "C"))
-        assert lake.run(spark) == [18]
+        with pytest.raises(Stopped):
+            lake.run(spark)
     assert lake.publish(spark) == [18]
     assert spark.table(f"gold.{players.NATIONS}").where("fifa_version = 18").count() == 1
     assert spark.table(f"gold.{players.RANKINGS}").count() == 6

@@ -73,14 +73,19 @@ def test_upsert_across_runs_and_batches(spark, feed, tmp_path):
     assert content(keyed.read(spark)) == expected
 
 
-def test_summary_continues_from_its_state(spark, feed, tmp_path):
+def test_summary_continues_from_its_state_and_rewrites_changed_groups(spark, feed, tmp_path):
     add, stream = feed
-    out, checkpoint = str(tmp_path / "out"), str(tmp_path / "cp")
-    summary_available_now(summarize(stream(), ["kind"], MEASURES), checkpoint, out)
-    assert content(spark.read.parquet(out)) == [("a", 1, 1), ("b", 1, 1)]
+    checkpoint = str(tmp_path / "cp")
+    target = KeyedTable(str(tmp_path / "out"), ("kind",), "batch", buckets=64)
+    summary_available_now(summarize(stream(), ["kind"], MEASURES), checkpoint, target)
+    assert content(target.read(spark).drop("batch")) == [("a", 1, 1), ("b", 1, 1)]
+    before, open_reader = target.manifest(spark).slots, target.read(spark)
     add((5, "a", 9))
-    summary_available_now(summarize(stream(), ["kind"], MEASURES), checkpoint, out)
-    assert content(spark.read.parquet(out)) == [("a", 2, 9), ("b", 1, 1)]
+    summary_available_now(summarize(stream(), ["kind"], MEASURES), checkpoint, target)
+    assert content(target.read(spark).drop("batch")) == [("a", 2, 9), ("b", 1, 1)]
+    after = target.manifest(spark).slots
+    assert sum(after[s] != v for s, v in before.items()) == 1
+    assert content(open_reader.drop("batch")) == [("a", 1, 1), ("b", 1, 1)]
 
 
 def test_rule_counters_arrive_in_the_progress(feed, tmp_path):

@@ -1,8 +1,11 @@
 """Table writes, namespaces, external copies, clustering."""
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
+from terrace.files import folders
 from terrace.operators.search import with_bounds_below
 from terrace.session import scratch_path
 from terrace.sinks.clustered import bucket_bounds, cluster, interleave, optimize_table, rewrite_clustered
@@ -88,8 +91,20 @@ def test_external_copies(spark, layer, tmp_path):
     save_table(spark.range(7), f"{layer}.origin")
     export_external(spark, [(layer, "origin", target)])
     assert scan(spark, f"{layer}.origin_external").count() == 7
-    assert spark.read.parquet(target).count() == 7
-    assert details(spark, f"{layer}.origin_external")["Type"] == "EXTERNAL"
+    now = details(spark, f"{layer}.origin_external")
+    assert now["Type"] == "EXTERNAL" and spark.read.parquet(now["Location"]).count() == 7
+    # the first copy is where it was, for whoever reads it
+    assert sorted(spark.read.parquet(f"{target}/{f}").count() for f in folders(spark, target)) == [4, 7]
+
+
+def test_external_copies_keep_partitions(spark, layer, tmp_path):
+    rows = spark.range(40).select("id", (F.col("id") % 4).alias("part"))
+    save_table(rows, f"{layer}.parted", partition_by=["part"])
+    (name,) = export_external(spark, [(layer, "parted", str(tmp_path / "copy"))])
+    one = scan(spark, name).where("part = 3")
+    assert same(scan(spark, name), rows) and len(one.inputFiles()) < len(scan(spark, name).inputFiles())
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"PartitionFilters: \[[^\]]*part", plan)
 
 
 def test_replaced_table_may_read_itself(spark, layer, tmp_path):

@@ -2,12 +2,13 @@
 
 from datetime import datetime
 from itertools import permutations
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from terrace.operators.upsert import latest_by_key, upsert
-from terrace.files import exists
+from terrace.files import folders
 from terrace.sinks.keyed import KeyedTable
 
 SCHEMA = "id int, edition int, name string, seq int, tie int"
@@ -118,37 +119,82 @@ def test_unpartitioned_keyed_table(spark, tmp_path):
     assert [r[2] for r in content(keyed.read(spark))] == ["c", "b"]
 
 
-def test_run_that_stopped_between_the_two_writes_is_completed(spark, keyed, monkeypatch):
+def test_run_that_stopped_before_its_manifest_changes_nothing(spark, keyed, monkeypatch):
     keyed.merge(batch(spark, (1, 15, "a", 1, 0), (2, 15, "b", 1, 0), (3, 16, "c", 1, 0)))
 
     class Stopped(Exception):
         pass
 
-    def stop(self, spark):
-        if exists(spark, f"{self.path}__staging/_SUCCESS"):
-            raise Stopped
+    def stop(*_):
+        raise Stopped
 
     with monkeypatch.context() as patched:
-        patched.setattr(KeyedTable, "_finish", stop)
+        patched.setattr(KeyedTable, "_commit", stop)
         with pytest.raises(Stopped):
             keyed.merge(batch(spark, (1, 15, "new", 2, 0)))
-    # The swap had begun: the partition is gone from the table itself.
-    spark.createDataFrame([], "id int, name string, seq int, tie int").write.mode(
-        "overwrite"
-    ).parquet(f"{keyed.path}/edition=15")
-    keyed.merge(batch(spark, (3, 16, "d", 2, 0)))
+    assert [r[2] for r in content(keyed.read(spark))] == ["a", "b", "c"]
+    keyed.merge(batch(spark, (1, 15, "new", 2, 0), (3, 16, "d", 2, 0)))
     assert [r[2] for r in content(keyed.read(spark))] == ["new", "b", "d"]
-    assert not exists(spark, f"{keyed.path}__staging")
 
 
-def test_optimize_keeps_every_row(spark, keyed):
-    rows = spark.range(500).select(
-        F.col("id").cast("int").alias("id"), (F.col("id") % 3).cast("int").alias("edition"),
-        F.lit("n").alias("name"), F.lit(1).alias("seq"), F.lit(0).alias("tie"),
-    )
+def test_unfinished_manifest_is_ignored(spark, keyed):
+    keyed.merge(batch(spark, (1, 15, "a", 1, 0)))
+    spark.range(1).write.json(f"{keyed.path}/manifest/{2:010d}")
+    Path(f"{keyed.path}/manifest/{2:010d}/_SUCCESS").unlink()
+    keyed.merge(batch(spark, (1, 15, "b", 2, 0)))
+    assert content(keyed.read(spark)) == [(1, 15, "b", 2, 0)]
+
+
+def test_open_reader_keeps_its_rows(spark, keyed):
+    keyed.merge(batch(spark, (1, 15, "a", 1, 0)))
+    reader = keyed.read(spark)
+    keyed.merge(batch(spark, (1, 15, "b", 2, 0)))
+    assert content(reader) == [(1, 15, "a", 1, 0)]
+
+
+def test_a_batch_rewrites_only_its_buckets(spark, tmp_path):
+    keyed = KeyedTable(str(tmp_path / "t"), ("id",), "seq", buckets=16)
+    keyed.merge(batch(spark, *[(n, 15, "a", 1, 0) for n in range(200)]))
+    before = keyed.manifest(spark).slots
+    keyed.merge(batch(spark, (7, 15, "b", 2, 0)))
+    after = keyed.manifest(spark).slots
+    assert sum(after[s] != v for s, v in before.items()) == 1 and len(before) == 16
+    assert keyed.read(spark).count() == 200 and keyed.read(spark).where("name = 'b'").count() == 1
+
+
+def test_unused_versions_go(spark, keyed):
+    for seq in range(1, 5):
+        keyed.merge(batch(spark, (1, 15, f"n{seq}", seq, 0), (2, 16, "b", 1, 0)))
+    assert len(folders(spark, f"{keyed.path}/data")) == 4
+    keyed.drop_unused(spark, keep=1)
+    assert len(folders(spark, f"{keyed.path}/data")) < 4
+    assert content(keyed.read(spark)) == [(1, 15, "n4", 4, 0), (2, 16, "b", 1, 0)]
+
+
+def test_registered_table_follows_merges(spark, keyed):
+    keyed.merge(batch(spark, (1, 15, "a", 1, 0), (2, None, "n", 1, 0)))
+    keyed.register(spark, "registered", "a comment")
+    keyed.merge(batch(spark, (1, 15, "b", 2, 0)).withColumn("extra", F.lit("e")))
+    assert sorted(r["name"] for r in spark.table("registered").collect()) == ["a", "n"]
+    keyed.register(spark, "registered")
+    found = spark.table("registered")
+    assert found.columns == ["id", "edition", "name", "seq", "tie", "extra"]
+    assert sorted((r["name"], r["extra"]) for r in found.collect()) == [("b", "e"), ("n", None)]
+
+
+def test_optimize_keeps_every_row_and_covers_small_boxes(spark, keyed):
+    rows = spark.range(4000).select(
+        (F.col("id") % 1000).cast("int").alias("id"), (F.col("id") % 4).cast("int").alias("edition"),
+        F.lit("n").alias("name"), F.lit(1).alias("seq"),
+        (F.xxhash64("id") % 1000).cast("int").alias("tie"),
+    ).dropDuplicates(["id", "edition"])
     keyed.merge(rows)
-    keyed.optimize(spark, ["id", "seq"], rows_per_file=60)
-    assert content(keyed.read(spark)) == content(rows)
+    keyed.optimize(spark, ["tie"], rows_per_file=25)
+    found = keyed.read(spark)
+    assert content(found) == content(rows)
+    stored = spark.read.parquet(f"{keyed.path}/data/version={next(iter(set(keyed.manifest(spark).slots.values())))}")
+    spans = stored.groupBy(F.input_file_name()).agg((F.max("tie") - F.min("tie")).alias("span"))
+    assert spans.agg(F.avg("span")).first()[0] < 0.5 * 2000
 
 
 def test_partition_column_must_be_a_key():
