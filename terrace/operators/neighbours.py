@@ -1,160 +1,80 @@
-"""Previous and next row per id, also when one id holds a large share of all rows.
+"""Where to cut ids that are too large for one task, along the order of their rows.
 
-A window sorts each id inside one task.  Where an id is too large for that, its
-order axis is cut into pieces, the window runs per piece, and the row next to each
-cut is looked up in a small table of piece edges.  The result is the same for any
-choice of cuts, so the cuts may come from a sample although no row is left out.
+A window sorts each id inside one task.  An id with more rows than that allows is cut into
+pieces; a window then runs per piece, and what lies beyond a cut comes from a second window over
+the ends of the pieces.  The result is the same for any choice of cuts, so the cuts
+may come from a sample although no row is left out.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
-from math import ceil
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from terrace.operators.search import with_bounds_below
 
 PIECE = "_piece"
-LARGE = "_large"
-PREVIOUS = "_previous"
-FOLLOWING = "_following"
-
 _KEY = "_key"
 _CUTS = "_cuts"
-_CUTTABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+_AT = "_at"
+_SAMPLE_PER_PIECE = 200
+_BROADCAST_PIECES = 100_000
 
 
 @dataclass(frozen=True)
 class Cuts:
-    """Ascending cut points per hashed id, at most ``size`` of them each."""
+    """Ascending cut points per hashed id: at most ``size`` for one id, ``pieces`` for all."""
 
     frame: DataFrame
     size: int
+    pieces: int
 
 
 def cut_points(
     df: DataFrame,
     ids: Sequence[str],
     order: str,
+    ties: Sequence[str] = (),
     rows_per_piece: int = 20_000_000,
-    max_pieces: int = 10_000,
-    sample_rows: int = 10_000_000,
 ) -> Cuts | None:
     """Where to cut the ids that exceed ``rows_per_piece``; ``None`` if there are none.
 
-    Costs one count, and for larger tables one scan of the id and order columns of
-    which about ``sample_rows`` rows are kept to find the large ids and their
-    quantiles.  A piece is at least ``1 / max_pieces`` of all rows, so the
-    result has about ``2 * max_pieces`` values at most and is safe to broadcast.
+    This is a planning step of its own: it counts ``df`` and, for a table of more rows than one
+    piece, shuffles a sample of about 200 rows per piece.  The cut points, one per piece, reach the
+    driver.  Rows are cut by order and tie columns of any type that sorts.
     """
-    if not isinstance(df.schema[order].dataType, _CUTTABLE):
-        return None
     total = df.count()
     if total <= rows_per_piece:
         return None
-    fraction = min(1.0, sample_rows / total)
-    piece = max(rows_per_piece, ceil(total / max_pieces)) * fraction
-
-    drawn = df.select(F.xxhash64(*ids).alias(_KEY), F.col(order).alias("at"))
+    fraction = min(1.0, _SAMPLE_PER_PIECE / rows_per_piece)
+    drawn = df.select(F.xxhash64(*ids).alias(_KEY), F.struct(order, *ties).alias("at"))
     if fraction < 1.0:
         drawn = drawn.sample(fraction, seed=17)
-    large = (
-        drawn.groupBy(_KEY)
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .where(F.col("rows") > piece)
-        .select(_KEY, F.ceil(F.col("rows") / piece).cast("int").alias("pieces"))
+    piece = rows_per_piece * fraction
+    sampled = drawn.groupBy(_KEY).agg(F.sort_array(F.collect_list("at")).alias("all"))
+    pieces = F.ceil(F.size("all") / piece).cast("int")
+    place = F.transform(
+        F.sequence(F.lit(1), pieces - 1),
+        lambda i: F.get("all", F.floor(i * F.size("all") / pieces).cast("int")),
     )
-    found = large.collect()
+    cuts = sampled.where(F.size("all") > piece).select(_KEY, F.array_distinct(place).alias(_CUTS))
+    found = cuts.collect()
     if not found:
         return None
-
-    spark = df.sparkSession
-    finest = max(row["pieces"] for row in found)
-    quantiles = [i / finest for i in range(1, finest)]
-    wanted = F.transform(
-        F.sequence(F.lit(1), F.col("pieces") - 1),
-        lambda i: F.element_at("fine", F.floor(i * F.lit(finest) / F.col("pieces")).cast("int")),
-    )
-    cuts = (
-        drawn.join(F.broadcast(spark.createDataFrame(found, large.schema)), _KEY)
-        .groupBy(_KEY)
-        .agg(
-            F.percentile_approx("at", quantiles, max(10_000, 10 * finest)).alias("fine"),
-            F.max("pieces").alias("pieces"),
-        )
-        .select(_KEY, F.array_distinct(wanted).alias(_CUTS))
-    )
-    return Cuts(spark.createDataFrame(cuts.collect(), cuts.schema), finest - 1)
-
-
-def with_piece(df: DataFrame, ids: Sequence[str], order: str, cuts: Cuts | None) -> DataFrame:
-    """Add whether an id is cut and the piece of each row, if there are any cuts."""
-    if cuts is None:
-        return df
-    keyed = df.withColumn(_KEY, F.xxhash64(*ids)).join(F.broadcast(cuts.frame), _KEY, "left")
-    return (
-        with_bounds_below(keyed, {PIECE: (order, F.col(_CUTS))}, cuts.size)
-        .withColumn(LARGE, F.col(_CUTS).isNotNull())
-        .drop(_KEY, _CUTS)
-    )
+    sizes = [len(row[_CUTS]) for row in found]
+    frame = df.sparkSession.createDataFrame(found, cuts.schema)
+    return Cuts(frame, max(sizes), sum(sizes) + len(sizes))
 
 
-def with_neighbours(
-    df: DataFrame,
-    ids: Sequence[str],
-    order: str,
-    ties: Sequence[str] = (),
-    previous: Sequence[str] = (),
-    following: Sequence[str] = (),
-    cut: bool = False,
+def with_piece(
+    df: DataFrame, ids: Sequence[str], order: str, ties: Sequence[str], cuts: Cuts
 ) -> DataFrame:
-    """Add ``previous`` columns of the row before and ``following`` ones of the row after.
-
-    Both arrive as structs that are null where there is no such row.  ``df`` comes
-    from ``with_piece``; ``cut`` says whether any id was cut.
-    """
-    # LARGE depends on the ids alone.  As a group column it lets the filter below pass
-    # the window and the join, so that the edges read the rows of large ids only.
-    groups = [*ids, LARGE, PIECE] if cut else [*ids]
-    rows = Window.partitionBy(*groups).orderBy(order, *ties)
-    wanted = {}
-    if previous:
-        wanted[PREVIOUS] = F.lag(F.struct(*previous)).over(rows)
-    if following:
-        wanted[FOLLOWING] = F.lead(F.struct(*following)).over(rows)
-    found = df.withColumns(wanted)
-    if not cut:
-        return found
-
-    at = F.struct(order, *ties)
-    edges = []
-    if previous:
-        edges.append(F.max_by(F.struct(*previous), at).alias("last"))
-    if following:
-        edges.append(F.min_by(F.struct(*following), at).alias("first"))
-    pieces = Window.partitionBy(*[f"edge_{c}" for c in ids]).orderBy("edge_piece")
-    beyond = []
-    if previous:
-        beyond.append(F.lag("last").over(pieces).alias("edge_previous"))
-    if following:
-        beyond.append(F.lead("first").over(pieces).alias("edge_following"))
-    # One row per piece, so the size is bounded by the number of cuts.
-    edge = (
-        df.where(LARGE)
-        .groupBy(*[F.col(c).alias(f"edge_{c}") for c in ids], F.col(PIECE).alias("edge_piece"))
-        .agg(*edges)
-        .select(*[f"edge_{c}" for c in ids], "edge_piece", *beyond)
-    )
-    same = F.col(PIECE) == F.col("edge_piece")
-    for c in ids:
-        same = same & F.col(c).eqNullSafe(F.col(f"edge_{c}"))
-    joined = found.join(F.broadcast(edge), same, "left")
-    if previous:
-        joined = joined.withColumn(PREVIOUS, F.coalesce(PREVIOUS, "edge_previous"))
-    if following:
-        joined = joined.withColumn(FOLLOWING, F.coalesce(FOLLOWING, "edge_following"))
-    return joined.select(*found.columns)
+    """Add the piece of each row, from 0; rows that agree in order and ties share one."""
+    frame = F.broadcast(cuts.frame) if cuts.pieces <= _BROADCAST_PIECES else cuts.frame
+    keyed = df.withColumn(_KEY, F.xxhash64(*ids)).join(frame, _KEY, "left")
+    placed = keyed.withColumn(_AT, F.when(F.col(_CUTS).isNotNull(), F.struct(order, *ties)))
+    searched = with_bounds_below(placed, {PIECE: (_AT, F.col(_CUTS))}, cuts.size)
+    return searched.drop(_KEY, _CUTS, _AT)

@@ -6,9 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.operators import history as history_module
 from terrace.operators.history import change_history
-from terrace.operators.neighbours import cut_points, with_piece, PIECE
+from terrace.operators.neighbours import PIECE, cut_points, with_piece
 from terrace.plans.players import transfer_history
 
 PATTERNS = {
@@ -123,7 +122,7 @@ def test_only_large_ids_are_cut(spark):
     data = [(1, i) for i in range(1000)] + [(2, i) for i in range(50)]
     df = spark.createDataFrame(data, "id int, at int")
     cuts = cut_points(df, ["id"], "at", rows_per_piece=100)
-    sizes = with_piece(df, ["id"], "at", cuts).groupBy("id", PIECE).count().collect()
+    sizes = with_piece(df, ["id"], "at", (), cuts).groupBy("id", PIECE).count().collect()
     small = [r for r in sizes if r["id"] == 2]
     large = [r["count"] for r in sizes if r["id"] == 1]
     assert [(r[PIECE], r["count"]) for r in small] == [(0, 50)]
@@ -133,7 +132,7 @@ def test_only_large_ids_are_cut(spark):
 def test_rows_are_spread_over_ordered_pieces(spark):
     df = spark.range(20_000).select(F.lit(1).alias("id"), F.col("id").alias("at"))
     cuts = cut_points(df, ["id"], "at", rows_per_piece=100)
-    pieces = with_piece(df, ["id"], "at", cuts).groupBy(PIECE).agg(
+    pieces = with_piece(df, ["id"], "at", (), cuts).groupBy(PIECE).agg(
         F.min("at").alias("low"), F.max("at").alias("high"), F.count("*").alias("n")
     )
     found = sorted(tuple(r) for r in pieces.collect())
@@ -142,23 +141,42 @@ def test_rows_are_spread_over_ordered_pieces(spark):
     assert max(n for *_, n in found) <= 120
 
 
-def test_sampled_cuts_give_the_same_history(spark, monkeypatch):
+@pytest.mark.parametrize("closing", ["appearance", "change"])
+def test_sampled_cuts_give_the_same_history(spark, closing):
     df = spark.range(30_000).select(
         (F.col("id") % 3 == 0).cast("int").alias("owner"),
         F.col("id").alias("at"),
         (F.xxhash64("id") % 3).alias("value"),
     )
-    whole = change_history(df, ["owner"], "at", "value", "change")
-    monkeypatch.setattr(
-        history_module,
-        "cut_points",
-        lambda rows, ids, order, _: cut_points(rows, ids, order, 1_000, sample_rows=2_000),
-    )
-    cut = change_history(df, ["owner"], "at", "value", "change")
-    assert "_piece" in cut._jdf.queryExecution().toString()
+    whole = change_history(df, ["owner"], "at", "value", closing, rows_per_piece=None)
+    cut = change_history(df, ["owner"], "at", "value", closing, rows_per_piece=1_000)
+    assert PIECE in cut._jdf.queryExecution().toString()
     assert cut.exceptAll(whole).isEmpty() and whole.exceptAll(cut).isEmpty()
 
 
+@pytest.mark.parametrize("closing", ["appearance", "change"])
+def test_cut_ids_need_two_shuffles_and_one_scan(spark, tmp_path, closing):
+    spark.range(3_000).selectExpr("id % 2 AS owner", "id AS at", "id % 5 AS value").write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    found = change_history(df, ["owner"], "at", "value", closing, rows_per_piece=100)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning") == 2 and plan.count("FileScan") == 1
+
+
+def test_text_order_and_equal_order_values_are_cut(spark):
+    df = spark.range(2_000).select(
+        F.lit(1).alias("id"), F.lpad((F.col("id") % 7).cast("string"), 3, "0").alias("at"), F.col("id").alias("tie"),
+        (F.xxhash64("id") % 2).alias("value"),
+    )
+    cuts = cut_points(df, ["id"], "at", ["tie"], rows_per_piece=100)
+    sizes = [r["count"] for r in with_piece(df, ["id"], "at", ["tie"], cuts).groupBy(PIECE).count().collect()]
+    assert len(sizes) == 20 and max(sizes) <= 110
+    for closing in ("appearance", "change"):
+        whole = change_history(df, ["id"], "at", "value", closing, ties=["tie"], rows_per_piece=None)
+        cut = change_history(df, ["id"], "at", "value", closing, ties=["tie"], rows_per_piece=100)
+        assert cut.exceptAll(whole).isEmpty() and whole.exceptAll(cut).isEmpty()
+
+
 def test_touching_periods_and_one_current_row(spark, sf_dir):
     events = spark.read.parquet(f"{sf_dir}/events.parquet")
     found = change_history(events, ["user_id"], "ts", "event_type", "change")
