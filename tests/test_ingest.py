@@ -1,5 +1,6 @@
 """Header-safe CSV reading and incremental ingest."""
 
+import gzip
 import json
 
 import pytest
@@ -160,3 +161,20 @@ def test_schema_log_keeps_the_newest(spark, tmp_path):
         save_schema(spark, path, schema)
     assert load_schema(spark, path) == second
     assert spark.read.json(path).count() == 2
+
+
+@pytest.mark.parametrize("files", [4, 24])
+def test_headers_cost_no_job_per_file(spark, tmp_path, files):
+    for n in range(files):
+        header = "id,club,v" if n % 2 else '"id";"v"'
+        (tmp_path / f"f{n:02d}.csv").write_text(f"{header}\n1,2,3\n")
+    (tmp_path / "empty.csv").write_text("")
+    with gzip.open(tmp_path / "packed.csv.gz", "wt") as out:
+        out.write("id,club,v\n9,8,7\n")
+    paths = [str(p) for p in sorted(tmp_path.iterdir())]
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    groups = header_groups(spark, paths)
+    assert len(set(tracker.getJobIdsForGroup(None)) - before) <= 2
+    assert sorted(len(v) for v in groups.values()) == [files // 2, files // 2 + 1]
+    assert len(groups["id", "club", "v"]) == files // 2 + 1

@@ -91,3 +91,10 @@ def test_distinct_after_grouping_costs_nothing(spark, sf_dir):
 def test_cleaning_is_free_of_shuffles(spark, sf_dir):
     raw = queries_players.raw_players(spark, sf_dir)
     assert shuffles(players.cleaned(raw)) == shuffles(raw)
+
+
+@pytest.mark.parametrize("name", ["top_players", "top_nations", "top_clubs", "top_leagues"])
+def test_edition_filter_reaches_the_scan_below_the_first_aggregate(spark, sf_dir, name):
+    text = plan(contract.queries()[name](spark, sf_dir))
+    lowest = text[text.rindex("Aggregate(") :]
+    assert re.search(r"Filter .*year\(", lowest) and "CollectMetrics" not in text
