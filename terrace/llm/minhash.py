@@ -40,7 +40,7 @@ from terrace.llm.components import connected_components
 from terrace.llm.tiles import Forest, Links, Tile, links, tile
 from terrace.session import scratch_path
 
-_CACHED_WORDS = 500_000
+_CACHED_WORDS = 100_000
 _CHUNK = 4096
 _M1, _M2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _SHIFT = np.uint64(29)

@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SPACE = "▁"
-_CACHED_UNITS = 200_000
+_CACHED_UNITS = 150_000
 _CACHED_LENGTH = 48
 _LIST_BELOW = 1_000_000
 
