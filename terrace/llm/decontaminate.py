@@ -199,7 +199,7 @@ def _cleaned(benchmark: DataFrame, group_letters: int) -> tuple[DataFrame, int]:
     )
     letters = cleaned.agg(F.sum(F.length("text"))).first()[0] or 0
     groups = letters // group_letters + 1
-    return cleaned.withColumn("part", F.pmod(F.xxhash64("text"), F.lit(groups))), groups
+    return cleaned.withColumn("part", F.pmod(F.xxhash64("item_id", "text"), F.lit(groups))), groups
 
 
 def _group(items: DataFrame) -> list[tuple[str | None, str]]:

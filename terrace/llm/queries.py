@@ -33,7 +33,7 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents mixed towards equal sources."""
+    """Documents mixed so that a source weighs its size to the power 0.7."""
     return mixing.mix(table(spark, sf_dir, "documents"))
 
 
@@ -136,7 +136,38 @@ SELECT query_id, rank::INTEGER AS rank, vec_id, score FROM (
 ) WHERE rank <= 5
 """
 
+_OP6 = r"""
+WITH RECURSIVE words AS (
+    SELECT doc_id, list_filter(
+        string_split_regex(
+            translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[\x20\x09-\x0D]+'),
+        lambda w: w <> '') AS w
+    FROM documents
+),
+sets AS (
+    SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+        ELSE list_distinct(list_transform(
+            range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s
+    FROM words
+),
+items AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+links AS (
+    SELECT a.doc_id AS x, b.doc_id AS y FROM items a JOIN items b USING (shingle)
+    WHERE a.doc_id <> b.doc_id GROUP BY a.doc_id, b.doc_id, a.n, b.n
+    HAVING 100 * count(*) >= 85 * (a.n + b.n - count(*))
+),
+reached(doc_id, other) AS (
+    SELECT doc_id, doc_id FROM documents
+    UNION
+    SELECT reached.doc_id, links.y FROM reached JOIN links ON reached.other = links.x
+)
+SELECT doc_id, len(s) AS n_shingles, min(other) AS component_id, doc_id = min(other) AS kept
+FROM sets JOIN reached USING (doc_id) GROUP BY doc_id, s
+"""
+
 ORACLE: dict[str, str] = {
+    "op6_near_duplicates": _OP6,
     "op9_top_products": _OP9,
     "op2_mixing": _OP2,
 }

@@ -5,6 +5,8 @@ import pytest
 
 from terrace.llm.components import connected_components
 from terrace.llm.minhash import Settings, least_matches, near_duplicates
+from terrace.llm.queries import ORACLE, QUERIES
+from tests.oracle import connect, differences
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -113,3 +115,9 @@ def test_components_of_any_graph(spark):
     for x, root in roots_of([e for e in edges if e[0] != e[1]]).items():
         wanted.setdefault(root, set()).add(x)
     assert sorted(map(sorted, found.values())) == sorted(map(sorted, wanted.values()))
+
+
+def test_agrees_with_sql(spark):
+    folder = "/root/testdata/sf0.01"
+    out = QUERIES["op6_near_duplicates"](spark, folder)
+    assert differences(out, connect(folder), ORACLE["op6_near_duplicates"]) is None
