@@ -273,6 +273,17 @@ def _lake(spark: SparkSession, sf_dir: str) -> players.PlayersLake:
     return lake
 
 
+_LAKES: dict[tuple[str, str], players.PlayersLake] = {}
+
+
+def _lake_of_session(spark: SparkSession, sf_dir: str) -> players.PlayersLake:
+    """The lake over ``sf_dir``, built by the first query of a session that reads its tables."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _LAKES:
+        _LAKES[key] = _lake(spark, sf_dir)
+    return _LAKES[key]
+
+
 _GROWN = f"""
     SELECT * REPLACE (CASE WHEN fifa_version >= {LATER} THEN 1 END AS international_reputation)
     FROM silver
@@ -293,17 +304,17 @@ def players_lake_clubs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{_SILVER} {_GROWN}")
 def lake_rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _at(spark.table(f"{_lake(spark, sf_dir).gold_layer}.{players.RANKINGS}"))
+    return _at(spark.table(f"{_lake_of_session(spark, sf_dir).gold_layer}.{players.RANKINGS}"))
 
 
 @query(f"{_SILVER} {_GROWN}")
 def lake_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _at(spark.table(f"{_lake(spark, sf_dir).silver_layer}.{players.SILVER}"))
+    return _at(spark.table(f"{_lake_of_session(spark, sf_dir).silver_layer}.{players.SILVER}"))
 
 
 @query(f"{_SILVER} {_NATIONS}")
 def lake_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.table(f"{_lake(spark, sf_dir).gold_layer}.{players.NATIONS}")
+    return spark.table(f"{_lake_of_session(spark, sf_dir).gold_layer}.{players.NATIONS}")
 
 
 @query(
@@ -316,7 +327,7 @@ def lake_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def lake_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.table(f"{_lake(spark, sf_dir).gold_layer}.{players.HISTORY}")
+    return spark.table(f"{_lake_of_session(spark, sf_dir).gold_layer}.{players.HISTORY}")
 
 
 @query(
@@ -328,5 +339,5 @@ def lake_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def lake_raw_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows per edition, read from the raw table by name."""
-    raw = spark.table(f"{_lake(spark, sf_dir).bronze_layer}.{players.RAW}")
+    raw = spark.table(f"{_lake_of_session(spark, sf_dir).bronze_layer}.{players.RAW}")
     return raw.groupBy("fifa_version").agg(F.count("*").alias("row_count"))
