@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 Tile = dict[str, np.ndarray]
 Links = list[tuple[int, int]]
 _KEY = ["bucket", "i", "j"]
+_NAMES = ["bucket", "band", "i", "j", "node", "block"]
 
 
 def tile(members: DataFrame, block: int) -> DataFrame:
@@ -68,34 +69,80 @@ class Forest:
         return x != y
 
 
+def _whole_tiles(
+    frame: DataFrame,
+    names: list[str],
+    opened: Callable[[], Callable[[Tile, list[int]], pd.DataFrame]],
+    schema: str,
+) -> DataFrame:
+    """What the function that ``opened`` makes in each task returns for rows of whole tiles.
+
+    It gets the rows of many tiles, sorted, and the places where tiles begin; tiles of one row are
+    among them.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        result_of = opened()
+        held: Tile | None = None
+        for batch in batches:
+            rows = {n: batch[n].to_numpy() for n in names}
+            if held is not None:
+                rows = {n: np.concatenate([held[n], rows[n]]) for n in names}
+            key = np.stack([rows[n].astype(np.int64) for n in _KEY])
+            starts = [0, *(np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist()]
+            last = starts.pop()  # the last tile may go on in the next batch
+            held = {n: rows[n][last:] for n in names}
+            if starts:
+                yield result_of({n: rows[n][:last] for n in names}, starts)
+        if held is not None and len(held["node"]):
+            yield result_of(held, [0])
+
+    dealt = frame.select(names).repartition(*_KEY).sortWithinPartitions(*_KEY)
+    return dealt.mapInPandas(run, schema)
+
+
 def links(tiles: DataFrame, columns: list[str], opened: Callable[[], Callable[[Tile], Links]]) -> DataFrame:
-    """a and b: what the function that ``opened`` makes in each task returns for each tile.
+    """a and b: the links that the function which ``opened`` makes finds in each tile.
 
     The function gets the ``columns`` and bucket, band, i, j, node and block as arrays.
     """
-    names = ["bucket", "band", "i", "j", "node", "block", *columns]
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def framed() -> Callable[[Tile, list[int]], pd.DataFrame]:
         links_of = opened()
-        held: list[Tile] = []
-
-        def closed() -> Links:
-            whole = {n: np.concatenate([h[n] for h in held]) for n in names}
-            held.clear()
-            return links_of(whole) if len(whole["node"]) > 1 else []
 
-        for batch in batches:
-            arrays = {n: batch[n].to_numpy() for n in names}
+        def all_links(rows: Tile, starts: list[int]) -> pd.DataFrame:
             found: Links = []
-            key = np.stack([arrays[n].astype(np.int64) for n in _KEY])
-            cuts = (np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1).tolist()
-            for a, b in zip([0, *cuts], [*cuts, len(batch)], strict=True):
-                if held and any(held[0][n][0] != arrays[n][a] for n in _KEY):
-                    found += closed()
-                held.append({n: arrays[n][a:b] for n in names})
-            yield pd.DataFrame(found, columns=["a", "b"], dtype="int64")
-        if held:
-            yield pd.DataFrame(closed(), columns=["a", "b"], dtype="int64")
-
-    dealt = tiles.select(names).repartition(*_KEY).sortWithinPartitions(*_KEY)
-    return dealt.mapInPandas(run, "a long, b long")
+            for a, b in zip(starts, [*starts[1:], len(rows["node"])], strict=True):
+                if b - a > 1:
+                    found += links_of({n: values[a:b] for n, values in rows.items()})
+            return pd.DataFrame(found, columns=["a", "b"], dtype="int64")
+
+        return all_links
+
+    return _whole_tiles(tiles, [*_NAMES, *columns], framed, "a long, b long")
+
+
+def near_hashes(tiles: DataFrame, bits: int) -> DataFrame:
+    """bucket, band and node of the tiles' nodes, 64-bit hashes themselves, that differ from another
+    in their tile in at most ``bits`` bits.
+
+    Row i is compared with row i + 1, then i + 2 and so on while any tile is as long, so many small
+    tiles cost no more than the pairs in them.
+    """
+
+    def near(rows: Tile, starts: list[int]) -> pd.DataFrame:
+        size = len(rows["node"])
+        lengths = np.diff([*starts, size])
+        left = np.repeat(np.array([*starts[1:], size]), lengths) - np.arange(size) - 1
+        hashes, apart = rows["node"].view(np.uint64), rows["i"] != rows["j"]
+        found = np.zeros(size, dtype=bool)
+        at = np.arange(size)
+        for step in range(1, int(lengths.max(initial=0))):
+            at = at[left[at] >= step]  # rows with so many after them in their tile
+            close = np.bitwise_count(hashes[at] ^ hashes[at + step]) <= bits
+            close &= ~apart[at] | (rows["block"][at] != rows["block"][at + step])
+            found[at[close]] = True
+            found[at[close] + step] = True
+        return pd.DataFrame({n: rows[n][found] for n in ("bucket", "band", "node")})
+
+    return _whole_tiles(tiles, _NAMES, lambda: near, "bucket long, band int, node long")
