@@ -9,15 +9,19 @@ that Spark writes to:
   lengths, the bits (big-endian 32-bit words, first code in the highest bits) and the bit
   offset of every ``CHECKPOINT``-th id, so it is decoded on its own and all its checkpoints at once.
 
-Documents are dealt out by ranges of (doc_id, ids, a seeded number), so copies of one row
+Documents are dealt out by ranges of (doc_id, crc32, a seeded number), so copies of one row
 may go to several tasks.  Null texts count as empty and hold just the end id; a null doc_id comes
-first; rows of one doc_id are ordered by their ids.  An empty table gives an empty file set.
+first; rows of one doc_id are ordered by the crc32 of their ids, then by the ids.  An empty table
+gives an empty file set.
 """
 
 from __future__ import annotations
 
+import os
 import zlib
+from array import array
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -27,8 +31,15 @@ from pyspark.sql import functions as F
 
 CHECKPOINT = 128
 BLOCK_IDS = 1 << 17
-_CACHED_WORDS = 200_000
+_CACHED_WORDS = 150_000
+_NO_SPACE = "\x1c\x1d\x1e\x1f"
 _CACHED_LENGTH = 48
+_TEXTS_AT_ONCE = 500
+#: Letters that stand for bytes: printable Latin-1 for itself, the others from U+0100 on in order.
+_PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+_BYTE_LETTERS = {
+    byte: chr(0x100 + n) for n, byte in enumerate(b for b in range(0x100) if b not in _PRINTABLE)
+}
 _BLOCK = (
     "part int, block int, start long, n_ids long, doc_ids array<long>, "
     "lengths array<int>, checkpoints binary, bits binary"
@@ -39,74 +50,153 @@ _BLOCK = (
 
 
 class _Words(dict):
-    """Ids of words seen lately, as bytes; holds a bounded number of short ones."""
+    """Ids of short words seen lately, as bytes: a bounded number, and as many from before.
 
-    def __init__(self, tokenizer_path: str):
-        from tokenizers import Tokenizer
+    A new word that is letters of Latin-1 and signs after them is lower-cased here and goes straight
+    to the library's merging; every other word goes through all its steps.
+    """
 
+    def __init__(self, tokenizer_path: str):
         super().__init__()
-        self.tokenizer = Tokenizer.from_file(tokenizer_path)
-        self.tokenizer.no_padding()
-        self.tokenizer.no_truncation()
+        self.tokenizer = _load(tokenizer_path)
+        self.dtype = _dtype(self.tokenizer)
+        self._older: dict[str, bytes] = {}
+        self._signs: dict[str, bytes] = {}
+        self._model = self.tokenizer.model
+        self._kind = "H" if self.dtype == "<u2" else "I"
+        self._straight = self._merges_as_whole()
+
+    def ids_of(self, texts: list[list[str]]) -> list[bytes]:
+        """The ids of texts that are cut into words."""
+        self._learn(set().union(*texts).difference(self))
+        out = [b"".join(map(self.__getitem__, words)) for words in texts]
+        if len(self) >= _CACHED_WORDS:  # start anew, and keep these as older
+            self._older = {w: ids for w, ids in self.items() if len(w) <= _CACHED_LENGTH}
+            self.clear()
+        return out
+
+    def _learn(self, words: set[str]) -> None:
+        """Encode words that are not held; those of one call are all held until it is done."""
+        others, older, straight = [], self._older, self._straight
+        for word in words:
+            ids = older.get(word)
+            if ids is None:
+                letters = word.rstrip(".,;:!?")
+                low = letters.lower()
+                if not (straight and low.isalpha() and (low.isascii() or max(low) < "\u0100")):
+                    others.append(word)
+                    continue
+                ids = self.get(low) or older.get(low)
+                if ids is None:
+                    ids = self[low] = self._merged(low)
+                if len(letters) < len(word):
+                    ids += self._sign_ids(word[len(letters) :])
+            self[word] = ids
+        self.update(zip(others, self._encoded(others), strict=True))
+
+    def _encoded(self, words: list[str]) -> list[bytes]:
+        found = self.tokenizer.encode_batch_fast(words, add_special_tokens=False)
+        return [array(self._kind, e.ids).tobytes() for e in found]
+
+    def _merged(self, low: str) -> bytes:
+        mapped = low if low.isascii() else low.encode().decode("latin-1").translate(_BYTE_LETTERS)
+        ids = [token.id for token in self._model.tokenize(mapped)]
+        return array(self._kind, ids).tobytes()
+
+    def _sign_ids(self, signs: str) -> bytes:
+        if signs not in self._signs:
+            if len(self._signs) >= 1_000:
+                self._signs.clear()
+            self._signs[signs] = self._encoded([signs])[0]
+        return self._signs[signs]
+
+    def _merges_as_whole(self) -> bool:
+        """Whether the vocabulary lower-cases letters and takes signs after them apart."""
+        letters = [chr(c) for c in range(0x100) if chr(c).isalpha()]
+        words = [*letters, *(a + b for a in "aZé" for b in letters), "Über", "STRASSE"]
+        whole = self._encoded([*words, *(w + ",." for w in words)])
+        apart = [self._merged(w.lower()) if max(w.lower()) < "\u0100" else b"" for w in words]
+        apart += [ids + self._sign_ids(",.") for ids in apart]
+        return whole == apart
+
+
+def _cut(text: str) -> list[str]:
+    """A text at its white space, over which no form of a letter reaches."""
+    if any(sign in text for sign in _NO_SPACE):  # white space to Python, but not to the vocabulary
+        return text.split(" ")
+    return text.split()
+
+
+def _load(tokenizer_path: str):
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks fill the cores
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(tokenizer_path)
+    tokenizer.no_padding()
+    tokenizer.no_truncation()
+    return tokenizer
 
-    def __missing__(self, word: str) -> bytes:
-        ids = self.tokenizer.encode(word, add_special_tokens=False).ids
-        found = np.array(ids, dtype="<u4").tobytes()
-        if len(word) <= _CACHED_LENGTH:
-            if len(self) >= _CACHED_WORDS:
-                self.clear()
-            self[word] = found
-        return found
+
+def _dtype(tokenizer) -> str:
+    return "<u2" if tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+
+
+@lru_cache(maxsize=2)
+def _words(tokenizer_path: str) -> _Words:
+    """One store for all tasks of a Python worker."""
+    return _Words(tokenizer_path)
 
 
 def _drops_white_space(tokenizer_path: str) -> bool:
     """Whether the vocabulary's words end at white space and white space has no ids."""
-    from tokenizers import Tokenizer
-
-    tokenizer = Tokenizer.from_file(tokenizer_path)
+    tokenizer = _load(tokenizer_path)
     ids = [tokenizer.encode(t, add_special_tokens=False).ids for t in ("a b", "a", "b", " \n\t")]
     return ids[0] == ids[1] + ids[2] and not ids[3]
 
 
 def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
-    """doc_id and ``ids`` (little-endian 32-bit) of every row, the end id last."""
+    """doc_id and ``ids`` (little-endian) of every row, the end id last, with their crc32.
+
+    Each task adds one row of ``counted`` ids and how often it wrote each, at most the vocabulary.
+    """
     by_word = _drops_white_space(tokenizer_path)
 
     def encode(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        words = _Words(tokenizer_path)
-        end = np.array([end_id], dtype="<u4").tobytes()
+        words = _words(tokenizer_path)
+        end = np.array([end_id], dtype=words.dtype).tobytes()
+        total = np.zeros(words.tokenizer.get_vocab_size(), dtype=np.int64)
         for batch in batches:
-            found = []
-            for text in batch["text"]:
-                # these three are white space to the vocabulary, and no form of a letter reaches over them
-                parts = text.replace("\n", " ").replace("\t", " ").split(" ") if by_word else [text]
-                found.append(b"".join(map(words.__getitem__, parts)) + end)
-            yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": found})
+            found: list[bytes] = []
+            for at in range(0, len(batch), _TEXTS_AT_ONCE):
+                some = batch["text"].iloc[at : at + _TEXTS_AT_ONCE]
+                parts = [_cut(t) if by_word else [t] for t in some]
+                found += [ids + end for ids in words.ids_of(parts)]
+            for at in range(0, len(found), 500):
+                some = np.frombuffer(b"".join(found[at : at + 500]), dtype=words.dtype)
+                counts = np.bincount(some)
+                total[: len(counts)] += counts
+            crc = [zlib.crc32(f) for f in found]
+            yield pd.DataFrame({"doc_id": batch["doc_id"], "ids": found, "crc": crc}).assign(
+                counted=None, n=None
+            )
+        counted = np.flatnonzero(total)
+        if len(counted):
+            row = {"doc_id": None, "ids": None, "crc": None, "counted": [counted], "n": [total[counted]]}
+            yield pd.DataFrame(row)
 
     texts = docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
+        F.col("doc_id").cast("string").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")
     )
-    return texts.mapInPandas(encode, "doc_id long, ids binary")
+    # a nullable long would turn into double in pandas
+    schema = "doc_id string, ids binary, crc long, counted array<long>, n array<long>"
+    return texts.mapInPandas(encode, schema).withColumn("doc_id", F.col("doc_id").cast("long"))
 
 
 def id_counts(ids: DataFrame) -> DataFrame:
     """id and its number of places over all documents."""
-
-    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(0, dtype=np.int64)
-        for batch in batches:
-            for value in batch["ids"]:
-                found = np.bincount(np.frombuffer(value, dtype="<u4"))
-                if len(found) > len(total):
-                    found[: len(total)] += total
-                    total = found
-                else:
-                    total[: len(found)] += found
-        present = np.flatnonzero(total)
-        yield pd.DataFrame({"id": present, "n": total[present]})
-
+    counts = ids.where("counted IS NOT NULL").select(F.arrays_zip("counted", "n").alias("pairs"))
     return (
-        ids.select("ids").mapInPandas(count, "id long, n long").groupBy("id").agg(F.sum("n").alias("n"))
+        counts.select(F.inline("pairs").alias("id", "n")).groupBy("id").agg(F.sum("n").alias("n"))
     )
 
 
@@ -211,6 +301,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -
     pairs = [(int(i), int(n)) for i, n in zip(counted["id"], lengths, strict=True)]
     spark.createDataFrame(pairs, "id long, length int").coalesce(1).write.parquet(f"{path}/code")
     code = Code(counted["id"].to_numpy(np.int64), lengths)
+    dtype = _dtype(_load(tokenizer_path))
 
     def pack(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         part, block, start = TaskContext.get().partitionId(), 0, 0
@@ -225,7 +316,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -
         for batch in batches:
             for doc_id, value in zip(batch["doc_id"], batch["ids"], strict=True):
                 doc_ids.append(None if pd.isna(doc_id) else int(doc_id))
-                values.append(np.frombuffer(value, dtype="<u4"))
+                values.append(np.frombuffer(value, dtype=dtype))
                 held += len(values[-1])
                 if held >= BLOCK_IDS:
                     yield close()
@@ -234,7 +325,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer_path: str, end_id: int) -
             yield close()
 
     # a nullable long turns into double in pandas; text keeps it exact
-    dealt = ids.repartitionByRange("doc_id", "ids", F.rand(7)).sortWithinPartitions("doc_id", "ids")
+    rows = ids.where("ids IS NOT NULL").select("doc_id", "crc", "ids")
+    dealt = rows.repartitionByRange("doc_id", "crc", F.rand(7)).sortWithinPartitions(
+        "doc_id", "crc", "ids"
+    )
     packed = dealt.select(F.col("doc_id").cast("string").alias("doc_id"), "ids").mapInPandas(pack, _BLOCK)
     packed.write.option("compression", "uncompressed").parquet(f"{path}/blocks")
 
