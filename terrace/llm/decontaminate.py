@@ -1,8 +1,9 @@
 """Benchmark decontamination by pigeonhole edit matching.
 
 With at most e errors, at least one of e + 1 pieces of a test item stands in the document
-unchanged.  One automaton over all pieces finds those places; Myers' bit-parallel distance decides
-in the window around each.  Items and documents are compared as lower-case words joined by
+unchanged.  One automaton over all pieces finds those places.  A window around one is left if more
+than e of the item's blocks, half as long as pieces, are missing in it; Myers' bit-parallel distance
+decides in the others.  Items and documents are compared as lower-case words joined by
 single spaces, so case, punctuation and line breaks do not matter.
 
 The automaton holds at most ``group_letters`` letters of items.  A larger benchmark is cut into
@@ -40,6 +41,8 @@ class Item:
         self.text = text
         self.errors = int(len(text) * error_rate)
         self._forward, self._backward = self._masks(text), self._masks(text[::-1])
+        size = max(1, len(text) // (2 * self.errors + 2))
+        self._blocks = [text[a : a + size] for a in range(0, len(text) - size + 1, size)]
 
     @staticmethod
     def _masks(text: str) -> dict[str, int]:
@@ -53,6 +56,16 @@ class Item:
         bounds = [len(self.text) * i // parts for i in range(parts + 1)]
         return [(a, self.text[a:b]) for a, b in zip(bounds, bounds[1:], strict=False)]
 
+    def may_hold(self, text: str) -> bool:
+        """False where no part of ``text`` is within the errors: each error spoils one block at most."""
+        spoilt = 0
+        for block in self._blocks:
+            if block not in text:
+                spoilt += 1
+                if spoilt > self.errors:
+                    return False
+        return True
+
     def _distances(self, masks: dict[str, int], text: str) -> Iterator[int]:
         """Distance of the item to the best part of ``text`` that ends at each letter."""
         full = (1 << len(self.text)) - 1
@@ -138,7 +151,7 @@ class Matcher:
             best, seen = None, None
             for a, b in sorted(set(all_windows)):
                 a = max(a, 0)
-                if seen is not None and b <= seen:
+                if seen is not None and b <= seen or not item.may_hold(text[a:b]):
                     continue
                 if seen is not None and a < seen and a - begun <= 2 * item.errors:
                     a = begun  # pieces of one place: look at it once more as a whole
@@ -154,7 +167,7 @@ class Matcher:
 def find_items(
     docs: DataFrame,
     benchmark: DataFrame,
-    error_rate: float = 0.05,
+    error_rate: float = 0.1,
     group_letters: int = 4_000_000,
 ) -> DataFrame:
     """doc_id, item_id, distance and the words (from 0) of each item's best place in each document."""
@@ -171,7 +184,7 @@ def find_items(
 def without_items(
     docs: DataFrame,
     benchmark: DataFrame,
-    error_rate: float = 0.05,
+    error_rate: float = 0.1,
     group_letters: int = 4_000_000,
 ) -> DataFrame:
     """The rows of ``docs`` that hold no item; rows stay where they are, nothing is shuffled."""

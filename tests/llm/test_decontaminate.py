@@ -84,6 +84,30 @@ def test_given_documents_hold_their_items(spark, sf_dir):
     assert sorted(map(tuple, grouped.collect())) == sorted(map(tuple, found.values()))
 
 
+@pytest.mark.parametrize(("edits", "share"), [(1, 0.95), (2, 0.85), (3, 0.6)])
+def test_items_with_edited_words_are_found(spark, sf_dir, edits, share):
+    rng = random.Random(edits)
+    folder = sf_dir.replace("sf0.001", "sf0.01")
+    benchmark = spark.read.parquet(f"{folder}/benchmark.parquet")
+    items = {r.item_id: plain(r.text) for r in benchmark.collect()}
+    fill = [plain(r.text)[:300] for r in spark.read.parquet(f"{folder}/documents.parquet").limit(9).collect()]
+    words = [w for text in items.values() for w in text.split()]
+    rows = []
+    for n, text in items.items():
+        own = text.split()
+        for at in rng.sample(range(len(own)), edits):
+            own[at] = rng.choice(words)
+        rows.append((n, f"{rng.choice(fill)} {' '.join(own)} {rng.choice(fill)}"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {(r.doc_id, r.item_id): r.distance for r in find_items(docs, benchmark).collect()}
+    held = [(d, n, plain(t)) for d, t in rows for n in items if n == d or (d, n) in found]
+    least = {(d, n): Item(items[n], 1.0).best(t)[0] for d, n, t in held}
+    assert found == {k: v for k, v in least.items() if v <= int(len(items[k[1]]) * 0.1)}
+    assert sum((n, n) in found for n in items) >= share * len(items)
+    left = {r.doc_id for r in without_items(docs, benchmark).collect()}
+    assert left == set(items) - {d for d, _ in found}
+
+
 def test_odd_tables(spark):
     docs = spark.createDataFrame(
         [(1, "Some test, item\nHERE", 1), (1, "Some test, item\nHERE", 1), (None, "x some test item here y", 2),
