@@ -48,10 +48,16 @@ def folders(spark: SparkSession, path: str, depth: int = 1) -> list[str]:
     return sorted(found)
 
 
-def first_lines(spark: SparkSession, paths: Sequence[str], charset: str = "UTF-8") -> list[str | None]:
-    """The first line of each file, ``None`` of an empty one; read by threads, without a Spark job.
+#: What Java's trim removes; Spark takes lines of these alone as blank.
+_BLANKS = "".join(map(chr, range(0x21)))
 
-    Files that a Hadoop codec compressed are opened through it.
+
+def first_lines(
+    spark: SparkSession, paths: Sequence[str], charset: str = "UTF-8", comment: str | None = None
+) -> list[str | None]:
+    """The first line of each file that is neither blank nor begins with ``comment``; ``None`` without one.
+
+    Read by threads, without a Spark job.  Files that a Hadoop codec compressed are opened through it.
     """
     jvm = spark.sparkContext._jvm
     codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
@@ -66,7 +72,10 @@ def first_lines(spark: SparkSession, paths: Sequence[str], charset: str = "UTF-8
             stream = codec.createInputStream(stream)
         reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, charset))
         try:
-            return reader.readLine()
+            while (line := reader.readLine()) is not None:
+                if line.strip(_BLANKS) and not (comment and line.startswith(comment)):
+                    return line
+            return None
         finally:
             reader.close()
 

@@ -39,22 +39,28 @@ def header_groups(
 ) -> dict[tuple[str, ...], list[str]]:
     """Paths by header.
 
-    The first line of each file is read without a Spark job; a header must fit into it.
-    Spark parses one file for each distinct first line.
+    The first line of each file that is neither blank nor a comment is read without a Spark job; a
+    header must fit into it.  Spark parses one file for each distinct first line.
     """
     settings = _options(options)
     charset = settings.get("encoding", settings.get("charset", "UTF-8"))
+    comment = next((v for k, v in settings.items() if k.lower() == "comment"), "\0")
+    lines = first_lines(spark, paths, charset, None if comment == "\0" else comment)
     by_line: dict[str, list[str]] = {}
-    for path, line in zip(paths, first_lines(spark, paths, charset), strict=True):
-        if line:
+    for path, line in zip(paths, lines, strict=True):
+        if line is not None:
             by_line.setdefault(line, []).append(path)
 
-    def header(path: str) -> tuple[str, ...]:
-        return tuple(spark.read.options(**settings).csv(path).columns)
+    def header(line: str, path: str) -> tuple[str, ...]:
+        columns = spark.read.options(**settings).csv(path).columns
+        if not "".join(columns).strip():  # a line of tabs, which Spark leaves out of the rows only
+            columns = spark.read.options(**settings).csv(spark.sparkContext.parallelize([line])).columns
+        return tuple(columns)
 
     groups: dict[tuple[str, ...], list[str]] = {}
     with ThreadPoolExecutor(max_workers=16) as pool:
-        for same, columns in zip(by_line.values(), pool.map(header, (p[0] for p in by_line.values()))):
+        first = (p[0] for p in by_line.values())
+        for same, columns in zip(by_line.values(), pool.map(header, by_line, first)):
             if columns:
                 groups.setdefault(columns, []).extend(same)
     return groups

@@ -55,6 +55,32 @@ def test_files_with_equal_headers_share_a_scan(spark, folder):
     assert {k: len(v) for k, v in groups.items()} == {("id", "club", "v"): 5, ("id", "v", "extra"): 1}
 
 
+def test_blank_lines_before_the_header_are_skipped(spark, folder):
+    put(folder, "players_15.csv", "\n" + OLD)
+    put(folder, "players_16.csv", " \t\n\n" + NEW)
+    put(folder, "players_17.csv", " \t\n\n" + OLD)
+    put(folder, "players_18.csv", "\n  \n")
+    groups = header_groups(spark, list_files(spark, str(folder)))
+    assert {k: len(v) for k, v in groups.items()} == {("id", "club", "v"): 2, ("id", "v", "extra"): 1}
+    table = raw_table(folder, new_columns="add")
+    table.ingest(spark)
+    assert records(table.read(spark), "id", "club", "v", "extra", "_rescued_data", "edition") == [
+        ("1", "A", "10", None, None, 15), ("1", "A", "10", None, None, 17),
+        ("2", None, "20", None, None, 15), ("2", None, "20", None, None, 17),
+        ("3", None, "30", "hello", None, 16), ("4", None, "40", None, None, 16),
+    ]
+
+
+def test_comments_before_the_header_are_skipped(spark, folder):
+    put(folder, "a.csv", "# made by x\n" + OLD)
+    put(folder, "b.csv", "# made by x\n\n# again\n" + NEW)
+    found = read_by_header(spark, str(folder), options={"comment": "#"})
+    assert records(found, "id", "club", "v", "extra", "_rescued_data") == [
+        ("1", "A", "10", None, None), ("2", None, "20", None, None),
+        ("3", None, "30", "hello", None), ("4", None, "40", None, None),
+    ]
+
+
 def test_columns_outside_the_schema_are_rescued(spark, folder):
     put(folder, "players_16.csv", NEW)
     schema = spark.createDataFrame([], "id string, club string, v string").schema
