@@ -21,7 +21,7 @@ def check(spark, tmp_path, rows, settings=Settings()):
     return found
 
 
-@pytest.mark.parametrize("terms_per_fit", [2_000_000, 3000])
+@pytest.mark.parametrize("terms_per_fit", [2_000_000, 100])
 def test_query_agrees_with_sql(spark, sf_dir, terms_per_fit):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
     found = source_divergence(documents, Settings(terms_per_fit=terms_per_fit))
