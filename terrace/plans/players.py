@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-import json
+import uuid
+from collections.abc import Mapping
 from dataclasses import dataclass
 from datetime import datetime
 from math import ceil
@@ -11,25 +12,28 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from terrace.files import exists
 from terrace.operators.clean import clean
 from terrace.operators.explore import counts_by, load_report, row_count, top_rows, top_values
 from terrace.operators.history import change_history
 from terrace.operators.quality import drop_failing, enforce
 from terrace.operators.summary import summarize
 from terrace.profile import Aliased, Gap, Measure, Profile, Rule, Tier
-from terrace.sinks.clustered import cluster, optimize_table
-from terrace.sinks.keyed import KeyedTable, Manifest
+from terrace.sinks.clustered import cluster
+from terrace.sinks.keyed import BUCKET, KeyedTable
 from terrace.sinks.tables import (
+    declare_table,
     ensure_layer,
     export_external,
+    grow_table,
+    partition_key,
+    point_partitions,
     register_partitioned,
-    replace_partitions,
-    replace_table,
+    set_properties,
+    swap_partitions,
     use_layer,
 )
 from terrace.streaming.ingest import LOAD, RawTable
-from terrace.streaming.jobs import upsert_available_now
+from terrace.streaming.jobs import keep_progress, save_rule_counts, upsert_available_now
 
 # ---------------------------------------------------------------------------
 # Names, bounds and labels that results depend on.
@@ -137,6 +141,7 @@ NATIONS = "nation_performance"
 CLUBS = "club_analysis"
 AGES = "age_analysis"
 HISTORY = "transfer_history_scd2"
+RULE_COUNTS = "players_rule_counts"
 COMMENTS = {
     RAW: "Lines of all player files as they came",
     SILVER: "Cleaned and validated players, latest version per key",
@@ -158,7 +163,6 @@ GOLD_PROPERTIES = {"quality": "gold"}
 # ---------------------------------------------------------------------------
 
 ROWS_PER_FILE = 5_000_000
-_PUBLISHED = "number long, slots string"
 #: Which of two rows of one key and time stays.
 TIES = (
     "ingested_at", "source_file", "player_name", "club_name", "league_name", "overall_rating",
@@ -259,6 +263,7 @@ class PlayersLake:
     silver_layer: str = "silver"
     gold_layer: str = "gold"
     new_columns: str = "add"
+    buckets: int = 4
 
     @property
     def raw(self) -> RawTable:
@@ -270,7 +275,8 @@ class PlayersLake:
     @property
     def silver(self) -> KeyedTable:
         return KeyedTable(
-            f"{self.root}/silver/{SILVER}", KEYS, PROFILE.time_column, TIES, partition_by=EDITION
+            f"{self.silver_layer}.{SILVER}", f"{self.root}/silver/{SILVER}", KEYS, PROFILE.time_column, TIES,
+            partition_by=EDITION, buckets=self.buckets, bucket_by=("player_id",),
         )
 
     def run(self, spark: SparkSession) -> list[int]:
@@ -283,51 +289,46 @@ class PlayersLake:
         return self.raw.ingest(spark)
 
     def upsert(self, spark: SparkSession) -> StreamingQuery:
+        """Clean, validate and merge what is new; what the rules count is added to a table."""
+        self._ensure_layers(spark)
+        keep_progress(spark)
         stream = validated(cleaned(self.raw.stream(spark)))
-        return upsert_available_now(stream, f"{self.silver.path}__checkpoint", self.silver)
+        query = upsert_available_now(stream, f"{self.silver.path}__checkpoint", self.silver)
+        save_rule_counts(spark, query, "players_rules", f"{self.silver_layer}.{RULE_COUNTS}")
+        return query
 
     def publish(self, spark: SparkSession) -> list[int]:
         """Bring the catalog tables up to date with the raw and the cleaned table.
 
-        The summaries and the rankings are recomputed for the editions of which a merge
-        wrote a slot since the last call: the versions of all slots are noted when a call
-        ends, so one that was cut short is made good by the next.
-        The history compares editions with each other and is recomputed as a whole.
-        New columns reach every table.  Returns the editions that changed.
+        The batches merged since the last call name the partitions that they touched.  Rankings and
+        summaries are recomputed for these editions; the history, which compares editions with each
+        other, for the players of these buckets, over all editions.  Batches are forgotten when the call
+        ends, so one that was cut short is made good by the next.  New columns reach every
+        table.  Returns the editions that changed.
         """
         self._ensure_layers(spark)
-        raw = self.raw
+        raw, silver = self.raw, self.silver
         register_partitioned(
             spark, f"{self.bronze_layer}.{RAW}", raw.path, raw.stored_schema(spark), LOAD,
             COMMENTS[RAW], {"quality": "bronze"},
         )
-        manifest = self.silver.manifest(spark)
-        known = self._published(spark)
-        slots = [s for s, version in manifest.slots.items() if known.get(s) != version]
-        stale = [int(e) for e in self.silver.partition_values(slots) if e is not None]
-        if not slots:
-            return stale
-        self.silver.register(
-            spark, f"{self.silver_layer}.{SILVER}", COMMENTS[SILVER], {"quality": "silver"}
-        )
-        silver = self.silver.read(spark)
-        changed = silver.where(F.col(EDITION).isin(stale))
-        summaries = {
-            NATIONS: nation_performance(changed),
-            CLUBS: club_analysis(changed),
-            AGES: age_analysis(changed),
-        }
-        for table, fresh in summaries.items():
-            name = self._gold(table)
-            if spark.catalog.tableExists(name):
-                kept = spark.table(name).where(~F.col(EDITION).isin(stale))
-                fresh = kept.unionByName(fresh)
-            replace_table(fresh, name, self._folder(table), COMMENTS[table], GOLD_PROPERTIES)
-        history = transfer_history(silver)
-        replace_table(history, self._gold(HISTORY), self._folder(HISTORY), COMMENTS[HISTORY])
-        self._publish_rankings(spark, rankings(changed).hint("rebalance", EDITION))
-        self._note_published(spark, manifest)
-        return sorted(stale)
+        batches = silver.changed_partitions(spark)
+        if not batches:
+            return []
+        levels = [partition.split("/") for touched in batches.values() for partition in touched]
+        editions = sorted({int(partition_key(edition)[1]) for edition, _ in levels})
+        buckets = sorted({int(partition_key(bucket)[1]) for _, bucket in levels})
+        silver.describe(spark, COMMENTS[SILVER], {"quality": "silver"})
+        rows = silver.read_rows(spark)
+        changed = rows.where(F.col(EDITION).isin(editions)).drop(BUCKET)
+        self._swap(spark, NATIONS, nation_performance(changed), EDITION)
+        self._swap(spark, CLUBS, club_analysis(changed), EDITION)
+        self._swap(spark, AGES, age_analysis(changed), EDITION)
+        history = transfer_history(rows.where(F.col(BUCKET).isin(buckets)))
+        self._swap(spark, HISTORY, history.withColumn(BUCKET, silver.bucket()), BUCKET, {})
+        self._publish_rankings(spark, rankings(changed))
+        silver.forget_changes(spark, list(batches))
+        return editions
 
     def _ensure_layers(self, spark: SparkSession) -> None:
         layers = {"bronze": self.bronze_layer, "silver": self.silver_layer, "gold": self.gold_layer}
@@ -338,40 +339,33 @@ class PlayersLake:
         """Cluster the five tables on the columns that filters use most."""
         self.publish(spark)
         self.silver.optimize(spark, CLUSTER_BY[SILVER])
-        self.silver.register(spark, f"{self.silver_layer}.{SILVER}")
-        silver = self.silver.read(spark)
-        rows = silver.count()
-        by = [c for c in CLUSTER_BY[RANKINGS] if c != EDITION]
-        files = max(1, ceil(rows / ROWS_PER_FILE))
-        self._publish_rankings(spark, cluster(rankings(silver), by, files, rows, [EDITION]))
-        for table in (NATIONS, CLUBS, AGES):
-            optimize_table(spark, self._gold(table), CLUSTER_BY[table])
-        # the same rows in new files: nothing to publish
-        self._note_published(spark, self.silver.manifest(spark))
+        for table in (RANKINGS, NATIONS, CLUBS, AGES):
+            name, path = self._gold(table), f"{self._folder(table)}/{uuid.uuid4().hex}"
+            rows = spark.table(name)
+            by = [c for c in CLUSTER_BY[table] if c != EDITION]
+            count = rows.count()
+            clustered = cluster(rows, by, max(1, ceil(count / ROWS_PER_FILE)), count, [EDITION])
+            clustered.write.partitionBy(EDITION).parquet(path)
+            point_partitions(spark, name, path, [EDITION])
 
     def _publish_rankings(self, spark: SparkSession, rows: DataFrame) -> None:
-        path = self._folder(RANKINGS)
-        replace_partitions(rows, path, EDITION)
-        register_partitioned(
-            spark, self._gold(RANKINGS), path, rows.schema, EDITION,
-            COMMENTS[RANKINGS], GOLD_PROPERTIES,
-        )
-
-    def _published(self, spark: SparkSession) -> dict[str, str]:
-        """The versions of all slots when the last ``publish`` ended."""
-        if not exists(spark, self._published_path):
-            return {}
-        newest = spark.read.schema(_PUBLISHED).json(self._published_path)
-        row = newest.orderBy(F.desc("number")).first()
-        return {} if row is None else json.loads(row["slots"])
-
-    def _note_published(self, spark: SparkSession, manifest: Manifest) -> None:
-        line = spark.createDataFrame([(manifest.number, json.dumps(dict(manifest.slots)))], _PUBLISHED)
-        line.coalesce(1).write.mode("append").json(self._published_path)
-
-    @property
-    def _published_path(self) -> str:
-        return f"{self.root}/silver/{SILVER}__published"
+        self._swap(spark, RANKINGS, rows, EDITION)
+
+    def _swap(
+        self,
+        spark: SparkSession,
+        table: str,
+        rows: DataFrame,
+        column: str,
+        properties: Mapping[str, str] = GOLD_PROPERTIES,
+    ) -> None:
+        """Replace the partitions of a published table that occur in ``rows``."""
+        name, folder = self._gold(table), self._folder(table)
+        if not spark.catalog.tableExists(name):
+            declare_table(spark, name, rows.schema, path=folder, partition_by=[column])
+            set_properties(spark, name, COMMENTS[table], properties)
+        grow_table(spark, name, rows.schema)
+        swap_partitions(rows, name, folder, [column])
 
     def _gold(self, table: str) -> str:
         return f"{self.gold_layer}.{table}"

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from datetime import datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +16,7 @@ from pyspark.sql import functions as F
 from terrace.plans import players
 from terrace.plans.registry import query, table
 from terrace.session import scratch_path
+from terrace.sinks.keyed import BUCKET
 
 AT = datetime(2024, 1, 1)
 FIRST_YEAR_TO_EDITION = 1977
@@ -273,17 +275,6 @@ def _lake(spark: SparkSession, sf_dir: str) -> players.PlayersLake:
     return lake
 
 
-_LAKES: dict[tuple[str, str], players.PlayersLake] = {}
-
-
-def _lake_of_session(spark: SparkSession, sf_dir: str) -> players.PlayersLake:
-    """The lake over ``sf_dir``, built by the first query of a session that reads its tables."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _LAKES:
-        _LAKES[key] = _lake(spark, sf_dir)
-    return _LAKES[key]
-
-
 _GROWN = f"""
     SELECT * REPLACE (CASE WHEN fifa_version >= {LATER} THEN 1 END AS international_reputation)
     FROM silver
@@ -304,17 +295,17 @@ def players_lake_clubs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"{_SILVER} {_GROWN}")
 def lake_rankings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _at(spark.table(f"{_lake_of_session(spark, sf_dir).gold_layer}.{players.RANKINGS}"))
+    return _at(spark.table(f"{_lake(spark, sf_dir).gold_layer}.{players.RANKINGS}"))
 
 
 @query(f"{_SILVER} {_GROWN}")
 def lake_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _at(spark.table(f"{_lake_of_session(spark, sf_dir).silver_layer}.{players.SILVER}"))
+    return _at(spark.table(f"{_lake(spark, sf_dir).silver_layer}.{players.SILVER}"))
 
 
 @query(f"{_SILVER} {_NATIONS}")
 def lake_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.table(f"{_lake_of_session(spark, sf_dir).gold_layer}.{players.NATIONS}")
+    return spark.table(f"{_lake(spark, sf_dir).gold_layer}.{players.NATIONS}")
 
 
 @query(
@@ -327,7 +318,7 @@ def lake_nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def lake_history(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spark.table(f"{_lake_of_session(spark, sf_dir).gold_layer}.{players.HISTORY}")
+    return spark.table(f"{_lake(spark, sf_dir).gold_layer}.{players.HISTORY}").drop(BUCKET)
 
 
 @query(
@@ -339,5 +330,33 @@ def lake_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def lake_raw_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw rows per edition, read from the raw table by name."""
-    raw = spark.table(f"{_lake_of_session(spark, sf_dir).bronze_layer}.{players.RAW}")
+    raw = spark.table(f"{_lake(spark, sf_dir).bronze_layer}.{players.RAW}")
     return raw.groupBy("fifa_version").agg(F.count("*").alias("row_count"))
+
+
+@query(
+    f"""
+    {_SILVER}, counted AS (
+        SELECT 'nation_performance' AS table_name, fifa_version, count(DISTINCT nationality) AS row_count
+        FROM silver GROUP BY fifa_version
+        UNION ALL
+        SELECT 'club_analysis', fifa_version, count(DISTINCT (club_name, league_name)) FROM silver GROUP BY fifa_version
+        UNION ALL
+        SELECT 'age_analysis', fifa_version, count(DISTINCT age_group) FROM silver GROUP BY fifa_version
+        UNION ALL
+        SELECT 'player_rankings', fifa_version, count(*) FROM silver GROUP BY fifa_version
+    )
+    SELECT * FROM counted
+    """
+)
+def lake_table_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per edition of every published table of one lake."""
+    lake = _lake(spark, sf_dir)
+    found = [
+        spark.table(f"{lake.gold_layer}.{name}")
+        .groupBy("fifa_version")
+        .agg(F.count("*").alias("row_count"))
+        .select(F.lit(name).alias("table_name"), "fifa_version", "row_count")
+        for name in (players.NATIONS, players.CLUBS, players.AGES, players.RANKINGS)
+    ]
+    return reduce(DataFrame.unionAll, found)

@@ -8,22 +8,37 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions.columns import number_in_text
+from terrace.operators.explore import preview
+from terrace.operators.quality import enforce
 from terrace.operators.summary import summarize
 from terrace.plans.queries_curate import SPLIT
 from terrace.plans.registry import query, table
-from terrace.profile import Measure
+from terrace.profile import Measure, Rule
 from terrace.session import scratch_path
 from terrace.sinks.clustered import optimize_table, rewrite_clustered
 from terrace.sinks.keyed import KeyedTable
-from terrace.sinks.tables import ensure_layer, export_external, save_files, save_table
+from terrace.sinks.tables import (
+    current_layer,
+    declare_table,
+    ensure_layer,
+    export_external,
+    grow_table,
+    layer_details,
+    save_files,
+    save_table,
+    table_properties,
+    use_layer,
+)
 from terrace.sources.delimited import read_by_header
 from terrace.sources.lineage import with_lineage
-from terrace.sources.tables import describe, scan, stream_table
+from terrace.sources.tables import describe, scan, stream_named, stream_table
 from terrace.streaming.ingest import RawTable
 from terrace.streaming.jobs import (
     append_available_now,
+    keep_progress,
+    save_rule_counts,
     summary_available_now,
-    upsert_available_now,
+    upsert_from_state,
 )
 
 YEAR_IN_PATH = r"order_year=(\d+)"
@@ -131,9 +146,10 @@ _LATEST_PER_PRIORITY = """
 
 
 def _keyed(spark: SparkSession, label: str) -> KeyedTable:
+    layer, root = _layer(spark, label)
     return KeyedTable(
-        f"{scratch_path(spark, label)}/orders", ("o_custkey", "o_orderpriority"), "o_orderdate",
-        ("o_orderkey",), partition_by="o_orderpriority",
+        f"{layer}.orders", f"{root}/orders", ("o_custkey", "o_orderpriority"), "o_orderdate",
+        ("o_orderkey",), partition_by="o_orderpriority", buckets=4,
     )
 
 
@@ -143,7 +159,7 @@ def upsert_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     newer = orders.where(F.col("o_orderdate") >= F.lit(SPLIT))
     older = orders.where(F.col("o_orderdate") < F.lit(SPLIT))
-    keyed = _keyed(spark, "upsert-batches")
+    keyed = _keyed(spark, "upsert_batches")
     for batch in (newer, older, newer):
         keyed.merge(batch)
     return keyed.read(spark)
@@ -151,8 +167,14 @@ def upsert_two_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(_LATEST_PER_PRIORITY)
 def upsert_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    keyed = _keyed(spark, "upsert-stream")
-    upsert_available_now(_stream(spark, sf_dir, "orders"), f"{keyed.path}__checkpoint", keyed)
+    """The newer half first, then the older one, which the state ignores where it is late; then nothing."""
+    keyed, feed = _keyed(spark, "upsert_stream"), scratch_path(spark, "upsert-feed")
+    orders = table(spark, sf_dir, "orders")
+    newer = F.col("o_orderdate") >= F.lit(SPLIT)
+    for delivery in (orders.where(newer), orders.where(~newer), orders.where("false")):
+        delivery.write.mode("append").parquet(feed)
+        stream = stream_table(spark, feed, orders.schema)
+        upsert_from_state(stream, f"{keyed.path}__checkpoint", keyed)
     return keyed.read(spark)
 
 
@@ -179,11 +201,63 @@ def stream_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
         Measure("avg_value", "avg", "value", 6),
         Measure("max_value", "max", "value"),
     ]
-    root, groups = scratch_path(spark, "summary"), ("event_type", "user_id")
-    target = KeyedTable(f"{root}/summary", groups, "batch", partition_by="event_type")
-    summary = summarize(_stream(spark, sf_dir, "events"), groups, measures)
-    summary_available_now(summary, f"{root}/checkpoint", target)
-    return target.read(spark).drop("batch")
+    layer, root = _layer(spark, "summary")
+    events = table(spark, sf_dir, "events")
+    for rest in (0, 1):
+        events.where(F.col("event_id") % 2 == rest).write.mode("append").parquet(f"{root}/feed")
+        stream = stream_table(spark, f"{root}/feed", events.schema)
+        summary = summarize(stream, ("event_type", "user_id"), measures)
+        summary_available_now(summary, f"{root}/checkpoint", f"{layer}.summary", f"{root}/summary")
+    return scan(spark, f"{layer}.summary")
+
+
+@query("SELECT * FROM orders")
+def stream_between_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows appended to one catalog table stream by name to another, over three runs."""
+    layer, root = _layer(spark, "between")
+    orders = table(spark, sf_dir, "orders")
+    newer = F.col("o_orderdate") >= F.lit(SPLIT)
+    for delivery in (orders.where(newer), orders.where(~newer), orders.where("false")):
+        save_table(delivery, f"{layer}.incoming", mode="append")
+        stream = stream_named(spark, f"{layer}.incoming", files_per_batch=2)
+        append_available_now(stream, f"{root}__checkpoint", table=f"{layer}.copied")
+    return scan(spark, f"{layer}.copied")
+
+
+_CHECKED = (
+    Rule("fair_quantity", "l_quantity BETWEEN 5 AND 45"),
+    Rule("no_returns", "l_returnflag <> 'R'"),
+    Rule("cheap", "l_extendedprice < 50000", "warn"),
+)
+
+
+@query(
+    """
+    WITH lines AS (SELECT *, l_linenumber > 3 AS late FROM lineitem),
+    counted AS (
+        SELECT late, 'rows' AS rule, count(*) AS violations FROM lines GROUP BY late
+        UNION ALL
+        SELECT late, 'fair_quantity', count(*) FILTER (NOT l_quantity BETWEEN 5 AND 45) FROM lines GROUP BY late
+        UNION ALL
+        SELECT late, 'no_returns', count(*) FILTER (l_returnflag = 'R') FROM lines GROUP BY late
+        UNION ALL
+        SELECT late, 'cheap', count(*) FILTER (l_extendedprice >= 50000) FROM lines GROUP BY late
+    )
+    SELECT CAST(late AS BIGINT) AS batch_id, rule, violations FROM counted
+    """
+)
+def stream_rule_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the rules of a running stream counted in each of two deliveries, kept as a table."""
+    layer, root = _layer(spark, "counts")
+    lines = table(spark, sf_dir, "lineitem")
+    keep_progress(spark)
+    for delivery in ("l_linenumber <= 3", "l_linenumber > 3"):
+        # without a limit of files, all that is there is one micro-batch
+        lines.where(delivery).write.mode("append").parquet(f"{root}/feed")
+        checked = enforce(stream_table(spark, f"{root}/feed", lines.schema), _CHECKED, "checks")
+        query = append_available_now(checked, f"{root}/checkpoint", path=f"{root}/passed")
+        save_rule_counts(spark, query, "checks", f"{layer}.rule_counts")
+    return scan(spark, f"{layer}.rule_counts").drop("run_id")
 
 
 @query("SELECT * FROM lineitem")
@@ -253,3 +327,124 @@ def files_overwrite(spark: SparkSession, sf_dir: str) -> DataFrame:
     save_files(suppliers.where("s_acctbal < 0"), path)
     save_files(suppliers, path)
     return spark.read.parquet(path)
+
+
+@query(
+    """
+    SELECT 'Orders of all years' AS comment, 'bronze' AS quality, count(*) AS row_count,
+           CAST(sum(o_custkey) AS BIGINT) AS key_sum
+    FROM orders
+    """
+)
+def declared_stream_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table declared with comment and property, filled by a stream; all read back by name."""
+    layer, root = _layer(spark, "declared")
+    name, orders = f"{layer}.orders", table(spark, sf_dir, "orders")
+    declare_table(spark, name, orders.schema, "Orders of all years", {"quality": "bronze"})
+    append_available_now(_stream(spark, sf_dir, "orders"), f"{root}__checkpoint", table=name)
+    return _described(spark, name).join(
+        scan(spark, name).agg(F.count("*").alias("row_count"), F.sum("o_custkey").alias("key_sum"))
+    )
+
+
+@query(
+    """
+    SELECT 'Orders per status' AS comment, 'gold' AS quality, count(*) AS row_count,
+           CAST(sum(n) AS BIGINT) AS order_count
+    FROM (SELECT count(*) AS n FROM orders GROUP BY o_orderstatus)
+    """
+)
+def derived_table_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A derived table's comment and property, beside what it holds."""
+    layer, _ = _layer(spark, "derived")
+    name = f"{layer}.order_counts"
+    counts = table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+    save_table(counts, name, comment="Orders per status", properties={"quality": "gold"})
+    return _described(spark, name).join(
+        scan(spark, name).agg(F.count("*").alias("row_count"), F.sum("n").alias("order_count"))
+    )
+
+
+def _described(spark: SparkSession, name: str) -> DataFrame:
+    """comment and quality of a table, one row; null without them."""
+    quality = table_properties(spark, name).agg(
+        F.max(F.when(F.col("key") == "quality", F.col("value"))).alias("quality")
+    )
+    comment = describe(spark, name).agg(
+        F.max(F.when(F.col("col_name") == "Comment", F.col("data_type"))).alias("comment")
+    )
+    return comment.join(quality)
+
+
+@query("SELECT o_orderstatus, 'current' AS layer, count(*) AS row_count FROM orders GROUP BY o_orderstatus")
+def current_layer_tables(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table found by its bare name in the current namespace; the one of the same name before is not."""
+    before = spark.catalog.currentDatabase()
+    other, _ = _layer(spark, "other")
+    layer, _ = _layer(spark, "current")
+    orders = table(spark, sf_dir, "orders")
+    save_table(orders.where("false"), f"{other}.orders")
+    save_table(orders, f"{layer}.orders")
+    try:
+        use_layer(spark, other)
+        use_layer(spark, layer)
+        name = current_layer(spark).first()["layer"]
+        found = scan(spark, "orders")
+    finally:
+        use_layer(spark, before)
+    label = F.lit(name.split("_")[0]).alias("layer")
+    return found.groupBy("o_orderstatus", label).agg(F.count("*").alias("row_count"))
+
+
+@query("SELECT count(*) AS row_count, count(*) AS below_the_location FROM lineitem")
+def layer_location(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of a table, and those of them in files below the location of its namespace."""
+    layer, _ = _layer(spark, "located")
+    save_table(table(spark, sf_dir, "lineitem"), f"{layer}.lineitem")
+    place = layer_details(spark, layer).where("info_name = 'Location'").first()["info_value"]
+    below = F.input_file_name().contains(place.removeprefix("file:"))
+    return scan(spark, f"{layer}.lineitem").select(below.alias("below")).agg(
+        F.count("*").alias("row_count"), F.count_if("below").alias("below_the_location")
+    )
+
+
+@query("SELECT 10::BIGINT AS row_count, 10::BIGINT AS key_count, 10::BIGINT AS found_count FROM orders LIMIT 1")
+def preview_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A preview of ten rows of a table that has more: how many rows, keys, and rows of the table."""
+    orders = table(spark, sf_dir, "orders")
+    shown = preview(orders, 10)
+    known = orders.select(*(F.col(c).alias(f"known_{c}") for c in orders.columns))
+    met = shown.join(
+        known, [F.col(c).eqNullSafe(F.col(f"known_{c}")) for c in orders.columns], "left"
+    )
+    return met.agg(
+        F.count("*").alias("row_count"),
+        F.count_distinct("o_orderkey").alias("key_count"),
+        F.count("known_o_orderkey").alias("found_count"),
+    )
+
+
+@query(
+    """
+    SELECT 'o_orderkey' AS col_name, 'bigint' AS data_type, count(*) AS filled FROM orders
+    UNION ALL SELECT 'o_totalprice', 'double', count(*) FROM orders
+    UNION ALL SELECT 'o_orderpriority', 'string', count(*) FILTER (year(o_orderdate) >= 1995) FROM orders
+    """
+)
+def describe_grown_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns and types of a table whose schema grew, with the rows that have a value there."""
+    layer, _ = _layer(spark, "grown")
+    name = f"{layer}.orders"
+    orders = table(spark, sf_dir, "orders")
+    late = F.year("o_orderdate") >= 1995
+    save_table(orders.where(~late).select("o_orderkey", "o_totalprice"), name)
+    added = orders.where(late).select("o_orderkey", "o_totalprice", "o_orderpriority")
+    grow_table(spark, name, added.schema)
+    save_table(added, name, mode="append")
+    rows = scan(spark, name)
+    filled = rows.agg(*(F.count(c).alias(c) for c in rows.columns))
+    counts = filled.select(
+        F.explode(F.create_map(*(x for c in rows.columns for x in (F.lit(c), F.col(c))))).alias("col_name", "filled")
+    )
+    types = describe(spark, name).where("data_type <> ''").select("col_name", "data_type")
+    return types.join(counts, "col_name")

@@ -1,220 +1,164 @@
-"""A Parquet table that is updated by key, one batch at a time.
-
-The table is cut into slots: one per value of the partition column (if there is one) and hash
-bucket of the key.  A merge writes the new content of the slots that a batch touches into a folder
-of its own version and then a manifest that names the version of every slot; the manifest is
-what makes the merge visible.  No file is ever overwritten, so readers finish on what they
-started with, a run that stops half-way leaves an unused folder and an unchanged table, and
-a replayed batch changes nothing.  There may be one writer at a time.
-
-``path/data/version=V/[partition=P/]key_bucket=B`` holds a slot, ``path/manifest/N`` the manifests.
+"""A catalog table that is updated by key, one batch at a time.
+
+The table is partitioned by a key column (if one is given) and by a hash bucket of key columns.  A
+merge reads the partitions that its batch touches, writes their new rows to a folder of their
+own and then points these partitions there in the catalog.  No file is overwritten: a reader that has begun
+finishes on what it found, and a merge that stops before its last step leaves the old rows.
+One that stops among partitions has replaced some of them, which merging the batch again completes: the
+latest row of a key wins, however often it comes.  There may be one writer at a time.
+
+``name`` is a view without the bucket column; the partitions belong to ``name__rows``.  Each batch
+stays as a folder below ``path__changes`` until ``forget_changes``, for those who
+bring other tables up to date.
 """
 
 from __future__ import annotations
 
-import json
 import uuid
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from math import ceil
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from terrace.files import folders, is_complete, remove
+from terrace.files import folders, remove
 from terrace.operators.upsert import latest_by_key, upsert
 from terrace.sinks.clustered import cluster
-from terrace.sinks.tables import declare_table, grow_table, set_properties
+from terrace.sinks.tables import (
+    NULL_PARTITION,
+    declare_table,
+    grow_table,
+    partition_key,
+    point_partitions,
+    set_properties,
+    swap_partitions,
+)
 
 BUCKET = "key_bucket"
-VERSION = "version"
-_NULL = "__HIVE_DEFAULT_PARTITION__"
-_MANIFEST = "schema string, slots string"
-
-
-@dataclass(frozen=True)
-class Manifest:
-    """The schema of a table and the version of each slot."""
-
-    number: int
-    schema: T.StructType
-    slots: Mapping[str, str]
 
 
 @dataclass(frozen=True)
 class KeyedTable:
     """Where the table lives and how its rows are identified and ordered.
 
-    ``buckets`` is fixed with the first merge of a table.
+    ``buckets`` is the number of partitions for each value of ``partition_by``; it is fixed with the first
+    merge, so choose it for the size that the table will have (a merge of one row rewrites
+    one partition).  ``bucket_by`` names the keys that are hashed, all by default.
     """
 
+    name: str
     path: str
     keys: tuple[str, ...]
     sequence: str
     ties: tuple[str, ...] = ()
     partition_by: str | None = None
-    buckets: int = 4
+    buckets: int = 16
+    bucket_by: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
         if self.partition_by is not None and self.partition_by not in self.keys:
             raise ValueError("partition_by must be a key, or a key could live in two partitions")
+        if not set(self.bucket_by) <= set(self.keys):
+            raise ValueError("bucket_by must be keys, or a key could live in two partitions")
 
-    def read(self, spark: SparkSession) -> DataFrame:
-        """The current content."""
-        manifest = self.manifest(spark)
-        return self._scan(spark, manifest, manifest.slots)
+    @property
+    def rows_name(self) -> str:
+        return f"{self.name}__rows"
 
-    def schema(self, spark: SparkSession) -> T.StructType:
-        return self.manifest(spark).schema
+    @property
+    def levels(self) -> list[str]:
+        """The partition columns."""
+        return [BUCKET] if self.partition_by is None else [self.partition_by, BUCKET]
 
-    def manifest(self, spark: SparkSession) -> Manifest:
-        found = self._newest(spark)
-        if found is None:
-            raise ValueError(f"nothing was merged into {self.path} yet")
-        return found
+    def bucket(self) -> Column:
+        hashed = F.xxhash64(*(self.bucket_by or self.keys))
+        return F.pmod(hashed, F.lit(self.buckets)).cast("int")
 
-    def partition_values(self, slots: Iterable[str]) -> list[str | None]:
-        """The partition values, as text, that ``slots`` belong to."""
-        names = {slot.split("/")[0].partition("=")[2] for slot in slots}
-        return sorted((None if n == _NULL else unquote(n) for n in names), key=str)
+    def read(self, spark: SparkSession) -> DataFrame:
+        """The current content."""
+        return self.read_rows(spark).drop(BUCKET)
+
+    def read_rows(self, spark: SparkSession) -> DataFrame:
+        """The current content with the bucket of each row; filters on it and on the partition prune."""
+        if not spark.catalog.tableExists(self.rows_name):
+            raise ValueError(f"nothing was merged into {self.name} yet")
+        return spark.table(self.rows_name)
 
-    def merge(self, changes: DataFrame) -> None:
-        """Apply one batch of changes."""
+    def merge(self, changes: DataFrame) -> list[str]:
+        """Apply one batch of changes; returns the partitions that it touched."""
         spark = changes.sparkSession
-        before = self._newest(spark)
-        newest = self._slotted(latest_by_key(changes, self.keys, self.sequence, self.ties))
-        if before is None:
-            self._publish(spark, newest, newest.drop(BUCKET).schema, 1, {})
-            return
+        newest = latest_by_key(changes, self.keys, self.sequence, self.ties).withColumn(BUCKET, self.bucket())
         # Written and not cached: the batch is computed once, survives lost executors, and
-        # its folders are the list of slots that it touches.
-        incoming = f"{self.path}/incoming-{uuid.uuid4().hex}"
-        newest.write.partitionBy(*self._levels).parquet(incoming)
-        touched = folders(spark, incoming, len(self._levels))
-        if touched:
-            batch = spark.read.schema(newest.schema).parquet(incoming).select(*changes.columns)
-            kept = {s: v for s, v in before.slots.items() if s in set(touched)}
-            current = self._scan(spark, before, kept)
-            merged = self._slotted(upsert(current, batch, self.keys, self.sequence, self.ties))
-            schema = merged.drop(BUCKET).schema
-            self._publish(spark, merged, schema, before.number + 1, before.slots)
-        remove(spark, incoming)
+        # its folders are the list of partitions that it touches.
+        incoming = f"{self._changes}/batch={uuid.uuid4().hex}"
+        newest.write.partitionBy(*self.levels).parquet(incoming)
+        touched = folders(spark, incoming, len(self.levels))
+        if not touched:
+            remove(spark, incoming)
+            return []
+        batch = spark.read.schema(newest.schema).parquet(incoming)
+        self._declare(spark, batch.schema)
+        current = spark.table(self.rows_name).where(self._within(touched))
+        merged = upsert(current, batch, self.keys, self.sequence, self.ties)
+        swap_partitions(merged, self.rows_name, self.path, self.levels)
+        return touched
+
+    def changed_partitions(self, spark: SparkSession) -> dict[str, list[str]]:
+        """The partitions that each batch since ``forget_changes`` has touched, by batch."""
+        found: dict[str, list[str]] = {}
+        for folder in folders(spark, self._changes, 1 + len(self.levels)):
+            batch, _, partition = folder.partition("/")
+            found.setdefault(batch, []).append(partition)
+        return found
+
+    def forget_changes(self, spark: SparkSession, batches: Sequence[str]) -> None:
+        for batch in batches:
+            remove(spark, f"{self._changes}/{batch}")
 
     def optimize(
         self, spark: SparkSession, columns: Sequence[str], rows_per_file: int = 5_000_000
     ) -> None:
-        """Rewrite all slots, compacted and clustered on ``columns``, as a new version."""
-        before = self.manifest(spark)
-        current = self._slotted(self._scan(spark, before, before.slots))
+        """Rewrite all partitions, compacted and clustered on ``columns``."""
+        current = self.read_rows(spark)
         rows = current.count()
         files = max(1, ceil(rows / rows_per_file))
-        clustered = cluster(current, columns, files, rows, self._levels)
-        self._publish(spark, clustered, before.schema, before.number + 1, {}, laid_out=True)
-
-    def drop_unused(self, spark: SparkSession, keep: int = 2) -> None:
-        """Remove versions that none of the ``keep`` newest manifests names."""
-        numbers = self._numbers(spark)[-keep:]
-        used = {v for n in numbers for v in self._load(spark, n).slots.values()}
-        for folder in folders(spark, f"{self.path}/data"):
-            if folder.partition("=")[2] not in used:
-                remove(spark, f"{self.path}/data/{folder}")
-
-    def register(
-        self,
-        spark: SparkSession,
-        name: str,
-        comment: str | None = None,
-        properties: Mapping[str, str] | None = None,
+        path = f"{self.path}/{uuid.uuid4().hex}"
+        cluster(current, columns, files, rows, self.levels).write.partitionBy(*self.levels).parquet(path)
+        point_partitions(spark, self.rows_name, path, self.levels)
+
+    def describe(
+        self, spark: SparkSession, comment: str | None = None, properties: Mapping[str, str] | None = None
     ) -> None:
-        """A catalog view ``name`` over a table of slots, ``name__slots``, as of the newest manifest."""
-        manifest = self.manifest(spark)
-        slots = f"{name}__slots"
-        stored = T.StructType([*manifest.schema.fields, T.StructField(BUCKET, T.IntegerType())])
-        data = f"{self.path}/data"
-        declare_table(spark, slots, stored, comment, properties, data, partition_by=self._levels)
-        grow_table(spark, slots, stored)
-        known = {r[0] for r in spark.sql(f"SHOW PARTITIONS {slots}").collect()}
-        for slot, version in manifest.slots.items():
-            spec = ", ".join(_spec(level) for level in slot.split("/"))
-            place = f"{data}/{VERSION}={version}/{slot}".replace("'", "\\'")
-            if slot in known:
-                spark.sql(f"ALTER TABLE {slots} PARTITION ({spec}) SET LOCATION '{place}'")
-            else:
-                spark.sql(f"ALTER TABLE {slots} ADD PARTITION ({spec}) LOCATION '{place}'")
-        spark.catalog.refreshTable(slots)
-        columns = ", ".join(f"`{c}`" for c in manifest.schema.fieldNames())
-        spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {slots}")
-        set_properties(spark, slots, comment, properties)
+        set_properties(spark, self.rows_name, comment, properties)
 
     @property
-    def _levels(self) -> list[str]:
-        return [BUCKET] if self.partition_by is None else [self.partition_by, BUCKET]
-
-    def _slotted(self, df: DataFrame) -> DataFrame:
-        bucket = F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int")
-        return df.withColumn(BUCKET, bucket)
-
-    def _publish(
-        self,
-        spark: SparkSession,
-        rows: DataFrame,
-        schema: T.StructType,
-        number: int,
-        before: Mapping[str, str],
-        laid_out: bool = False,
-    ) -> None:
-        """Write ``rows`` as a version and then the manifest in which it replaces its slots."""
-        version = f"v{number}-{uuid.uuid4().hex}"
-        folder = f"{self.path}/data/{VERSION}={version}"
-        if not laid_out:
-            # Few files per slot, while a large slot still gets many tasks.
-            rows = rows.hint("rebalance", *self._levels)
-        rows.write.partitionBy(*self._levels).parquet(folder)
-        written = folders(spark, folder, len(self._levels))
-        self._commit(spark, number, schema, {**before, **dict.fromkeys(written, version)})
-
-    def _commit(
-        self, spark: SparkSession, number: int, schema: T.StructType, slots: Mapping[str, str]
-    ) -> None:
-        row = [(schema.json(), json.dumps(dict(slots)))]
-        lines = spark.createDataFrame(row, _MANIFEST).coalesce(1)
-        # a folder without its success mark is a manifest that was never finished
-        lines.write.mode("overwrite").json(f"{self.path}/manifest/{number:010d}")
-
-    def _numbers(self, spark: SparkSession) -> list[int]:
-        found = folders(spark, f"{self.path}/manifest")
-        return [int(n) for n in found if is_complete(spark, f"{self.path}/manifest/{n}")]
-
-    def _newest(self, spark: SparkSession) -> Manifest | None:
-        numbers = self._numbers(spark)
-        return self._load(spark, numbers[-1]) if numbers else None
-
-    def _load(self, spark: SparkSession, number: int) -> Manifest:
-        row = spark.read.schema(_MANIFEST).json(f"{self.path}/manifest/{number:010d}").first()
-        schema = T.StructType.fromJson(json.loads(row["schema"]))
-        return Manifest(number, schema, json.loads(row["slots"]))
-
-    def _scan(self, spark: SparkSession, manifest: Manifest, slots: Mapping[str, str]) -> DataFrame:
-        names = manifest.schema.fieldNames()
-        if not slots:
-            return spark.createDataFrame([], manifest.schema)
-        placed = T.StructType(
-            [
-                *manifest.schema.fields,
-                T.StructField(VERSION, T.StringType()),
-                T.StructField(BUCKET, T.IntegerType()),
-            ]
-        )
-        data = f"{self.path}/data"
-        paths = [f"{data}/{VERSION}={version}/{slot}" for slot, version in slots.items()]
-        return spark.read.schema(placed).option("basePath", data).parquet(*paths).select(*names)
-
-
-def _spec(level: str) -> str:
-    name, _, value = level.partition("=")
-    if value == _NULL:
-        return f"`{name}` = null"
-    text = unquote(value).replace("\\", "\\\\").replace("'", "\\'")
-    return f"`{name}` = '{text}'"
+    def _changes(self) -> str:
+        return f"{self.path}__changes"
+
+    def _declare(self, spark: SparkSession, schema: T.StructType) -> None:
+        """Create the table, or add the columns that came with a batch."""
+        known = spark.catalog.tableExists(self.rows_name)
+        declare_table(spark, self.rows_name, schema, path=self.path, partition_by=self.levels)
+        if not known or grow_table(spark, self.rows_name, schema):
+            columns = spark.table(self.rows_name).columns
+            shown = ", ".join(f"`{c}`" for c in columns if c != BUCKET)
+            spark.sql(f"CREATE OR REPLACE VIEW {self.name} AS SELECT {shown} FROM {self.rows_name}")
+
+    def _within(self, partitions: Sequence[str]) -> Column:
+        """Whether a row belongs to one of ``partitions``; literals, so that the scan is pruned."""
+        buckets: dict[str | None, list[int]] = {}
+        for partition in partitions:
+            value, _, bucket = partition.rpartition("/")
+            buckets.setdefault(value or None, []).append(int(partition_key(bucket)[1]))
+        found = F.lit(False)
+        for value, numbers in buckets.items():
+            one = F.col(BUCKET).isin(numbers)
+            if value is not None:
+                text = partition_key(value)[1]
+                column = F.col(self.partition_by)
+                one &= column.isNull() if text == NULL_PARTITION else column == F.lit(unquote(text))
+            found |= one
+        return found

@@ -4,10 +4,16 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
+from terrace.files import folders
+
+#: How folders of partitions name null.
+NULL_PARTITION = "__HIVE_DEFAULT_PARTITION__"
+
 
 def ensure_layer(spark: SparkSession, name: str, location: str | None = None) -> None:
     """Create the namespace of a layer, at ``location`` if given, unless it exists."""
@@ -107,14 +113,47 @@ def replace_table(
     return path
 
 
-def replace_partitions(df: DataFrame, path: str, column: str) -> None:
-    """Replace the partitions of ``column`` that occur in ``df``; others stay."""
-    (
-        df.write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
-        .parquet(path)
-    )
+def swap_partitions(df: DataFrame, name: str, folder: str, columns: Sequence[str]) -> list[str]:
+    """Write ``df`` to a new folder below ``folder`` and point its partitions of a table there.
+
+    Partitions that do not occur in ``df`` stay.  ``df`` may read from the table itself, and readers
+    keep the files that they started with.  Returns the partitions.
+    """
+    path = f"{folder}/{uuid.uuid4().hex}"
+    # few files for each partition, while a large one still gets many tasks
+    df.hint("rebalance", *columns).write.partitionBy(*columns).parquet(path)
+    return point_partitions(df.sparkSession, name, path, columns)
+
+
+def point_partitions(spark: SparkSession, name: str, path: str, columns: Sequence[str]) -> list[str]:
+    """Make the partition folders below ``path`` the partitions of a table, one at a time."""
+    written = folders(spark, path, len(columns))
+    known = {row[0] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+
+    def place(partition: str) -> tuple[str, str]:
+        spec = ", ".join(_spec(level) for level in partition.split("/"))
+        return f"PARTITION ({spec})", f"LOCATION '{_quoted(f'{path}/{partition}')}'"
+
+    new = [p for p in written if p not in known]
+    for partition in written:
+        if partition in known:
+            spec, location = place(partition)
+            spark.sql(f"ALTER TABLE {name} {spec} SET {location}")
+    if new:
+        spark.sql(f"ALTER TABLE {name} ADD {' '.join(' '.join(place(p)) for p in new)}")
+    spark.catalog.refreshTable(name)
+    return written
+
+
+def partition_key(level: str) -> tuple[str, str]:
+    """Column and value (escaped, as in paths) of one level of a partition's folder."""
+    column, _, value = level.partition("=")
+    return column, value
+
+
+def _spec(level: str) -> str:
+    column, value = partition_key(level)
+    return f"`{column}` = null" if value == NULL_PARTITION else f"`{column}` = '{_quoted(unquote(value))}'"
 
 
 def register_partitioned(
@@ -170,3 +209,18 @@ def export_external(
 
 def _quoted(text: str) -> str:
     return text.replace("\\", "\\\\").replace("'", "\\'")
+
+
+def table_properties(spark: SparkSession, name: str) -> DataFrame:
+    """key and value of a table's properties."""
+    return spark.sql(f"SHOW TBLPROPERTIES {name}")
+
+
+def layer_details(spark: SparkSession, name: str) -> DataFrame:
+    """info_name and info_value of a namespace."""
+    return spark.sql(f"DESCRIBE DATABASE {name}")
+
+
+def current_layer(spark: SparkSession) -> DataFrame:
+    """The current namespace, as one row."""
+    return spark.sql("SELECT current_schema() AS layer")

@@ -24,6 +24,14 @@ def stream_table(
     return reader.parquet(path)
 
 
+def stream_named(spark: SparkSession, name: str, files_per_batch: int | None = None) -> DataFrame:
+    """A catalog table as a stream of the rows that are appended to it."""
+    reader = spark.readStream
+    if files_per_batch is not None:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    return reader.table(name)
+
+
 def describe(spark: SparkSession, name: str) -> DataFrame:
     """Columns, types and storage details of a catalog table."""
     return spark.sql(f"DESCRIBE TABLE EXTENDED {name}")

@@ -13,11 +13,10 @@ from terrace.sinks.tables import (
     declare_table,
     ensure_layer,
     export_external,
-    register_partitioned,
-    replace_partitions,
     replace_table,
     save_files,
     save_table,
+    swap_partitions,
     use_layer,
 )
 from terrace.sources.tables import describe, scan
@@ -117,10 +116,10 @@ def test_replaced_table_may_read_itself(spark, layer, tmp_path):
 def test_partitions_are_replaced_one_by_one(spark, layer, tmp_path):
     path, name = str(tmp_path / "parts"), f"{layer}.parts"
     rows = spark.createDataFrame([(1, 15), (2, 16)], "id int, edition int")
+    declare_table(spark, name, rows.schema, path=path, partition_by=["edition"])
     for part in (rows, rows.where("edition = 16").withColumn("id", F.lit(9)),
                  rows.limit(1).select("id", F.lit(17).alias("edition"))):
-        replace_partitions(part, path, "edition")
-        register_partitioned(spark, name, path, rows.schema, "edition", properties={"q": "g"})
+        swap_partitions(part, name, path, ["edition"])
     assert sorted(tuple(r) for r in scan(spark, name).collect()) == [(1, 15), (1, 17), (9, 16)]
 
 

@@ -1,5 +1,7 @@
 """Latest-wins reduction and the keyed table, also when a run stops half-way."""
 
+import re
+import uuid
 from datetime import datetime
 from itertools import permutations
 from pathlib import Path
@@ -8,7 +10,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from terrace.operators.upsert import latest_by_key, upsert
-from terrace.files import folders
+from terrace.sinks import keyed as keyed_module
+from terrace.sinks import tables
 from terrace.sinks.keyed import KeyedTable
 
 SCHEMA = "id int, edition int, name string, seq int, tie int"
@@ -19,12 +22,17 @@ def batch(spark, *rows):
 
 
 def content(df):
-    return sorted(tuple(r) for r in df.collect())
+    order = [c for c in ("id", "edition", "name", "seq", "tie", "extra") if c in df.columns]
+    return sorted(tuple(r) for r in df.select(*order).collect())
+
+
+def keyed_at(tmp_path, keys, ties=(), **settings):
+    return KeyedTable(f"keyed_{uuid.uuid4().hex}", str(tmp_path / "t"), keys, "seq", ties, **settings)
 
 
 @pytest.fixture()
 def keyed(tmp_path):
-    return KeyedTable(str(tmp_path / "t"), ("id", "edition"), "seq", ("tie",), "edition")
+    return keyed_at(tmp_path, ("id", "edition"), ("tie",), partition_by="edition")
 
 
 def test_greatest_sequence_wins(spark):
@@ -96,7 +104,7 @@ def test_keyed_table_with_null_partition(spark, keyed):
 
 
 def test_partition_text_keeps_its_type(spark, tmp_path):
-    keyed = KeyedTable(str(tmp_path / "t"), ("id", "zone"), "seq", partition_by="zone")
+    keyed = keyed_at(tmp_path, ("id", "zone"), partition_by="zone")
     rows = spark.createDataFrame([(1, "007", 1), (2, "7", 1)], "id int, zone string, seq int")
     keyed.merge(rows)
     keyed.merge(rows)
@@ -113,23 +121,24 @@ def test_new_columns_keep_old_rows(spark, keyed):
 
 
 def test_unpartitioned_keyed_table(spark, tmp_path):
-    keyed = KeyedTable(str(tmp_path / "t"), ("id",), "seq")
+    keyed = keyed_at(tmp_path, ("id",))
     keyed.merge(batch(spark, (1, 15, "a", 1, 0), (2, 15, "b", 1, 0)))
     keyed.merge(batch(spark, (1, 15, "c", 2, 0)))
     assert [r[2] for r in content(keyed.read(spark))] == ["c", "b"]
 
 
-def test_run_that_stopped_before_its_manifest_changes_nothing(spark, keyed, monkeypatch):
+@pytest.mark.parametrize("step", ["swap_partitions", "latest_by_key", "upsert"])
+def test_killed_merge_leaves_the_old_rows(spark, keyed, monkeypatch, step):
     keyed.merge(batch(spark, (1, 15, "a", 1, 0), (2, 15, "b", 1, 0), (3, 16, "c", 1, 0)))
 
     class Stopped(Exception):
         pass
 
-    def stop(*_):
+    def stop(*_, **__):
         raise Stopped
 
     with monkeypatch.context() as patched:
-        patched.setattr(KeyedTable, "_commit", stop)
+        patched.setattr(keyed_module, step, stop)
         with pytest.raises(Stopped):
             keyed.merge(batch(spark, (1, 15, "new", 2, 0)))
     assert [r[2] for r in content(keyed.read(spark))] == ["a", "b", "c"]
@@ -137,52 +146,79 @@ def test_run_that_stopped_before_its_manifest_changes_nothing(spark, keyed, monk
     assert [r[2] for r in content(keyed.read(spark))] == ["new", "b", "d"]
 
 
-def test_unfinished_manifest_is_ignored(spark, keyed):
-    keyed.merge(batch(spark, (1, 15, "a", 1, 0)))
-    spark.range(1).write.json(f"{keyed.path}/manifest/{2:010d}")
-    Path(f"{keyed.path}/manifest/{2:010d}/_SUCCESS").unlink()
-    keyed.merge(batch(spark, (1, 15, "b", 2, 0)))
-    assert content(keyed.read(spark)) == [(1, 15, "b", 2, 0)]
+def test_merge_that_stopped_among_partitions_is_completed_by_its_replay(spark, keyed, monkeypatch):
+    keyed.merge(batch(spark, (1, 15, "a", 1, 0), (1, 16, "b", 1, 0)))
+    changes = batch(spark, (1, 15, "c", 2, 0), (1, 16, "d", 2, 0))
+    pointed = tables.folders
+
+    with monkeypatch.context() as patched:
+        patched.setattr(tables, "folders", lambda *a: pointed(*a)[:1])
+        keyed.merge(changes)
+    assert [r[2] for r in content(keyed.read(spark))] == ["c", "b"]
+    keyed.merge(changes)
+    assert [r[2] for r in content(keyed.read(spark))] == ["c", "d"]
 
 
-def test_open_reader_keeps_its_rows(spark, keyed):
+def test_files_of_earlier_readers_stay(spark, keyed):
     keyed.merge(batch(spark, (1, 15, "a", 1, 0)))
-    reader = keyed.read(spark)
+    files = keyed.read(spark).inputFiles()
     keyed.merge(batch(spark, (1, 15, "b", 2, 0)))
-    assert content(reader) == [(1, 15, "a", 1, 0)]
+    assert all(Path(f.removeprefix("file://")).exists() for f in files)
+    assert keyed.read(spark).inputFiles() != files
 
 
-def test_a_batch_rewrites_only_its_buckets(spark, tmp_path):
-    keyed = KeyedTable(str(tmp_path / "t"), ("id",), "seq", buckets=16)
+def test_a_merge_of_one_key_reads_and_writes_one_partition(spark, tmp_path, monkeypatch):
+    keyed = keyed_at(tmp_path, ("id",), buckets=16)
     keyed.merge(batch(spark, *[(n, 15, "a", 1, 0) for n in range(200)]))
-    before = keyed.manifest(spark).slots
-    keyed.merge(batch(spark, (7, 15, "b", 2, 0)))
-    after = keyed.manifest(spark).slots
-    assert sum(after[s] != v for s, v in before.items()) == 1 and len(before) == 16
+    before, read = set(keyed.read(spark).inputFiles()), []
+
+    def watched(current, *rest):
+        read.extend(current.inputFiles())
+        plan = current._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[[^\]]*key_bucket", plan)
+        read.append(current.select("key_bucket").distinct().count())
+        return upsert(current, *rest)
+
+    monkeypatch.setattr(keyed_module, "upsert", watched)
+    assert len(keyed.merge(batch(spark, (7, 15, "b", 2, 0)))) == 1
+    assert read[-1] == 1
+    after = set(keyed.read(spark).inputFiles())
+    assert len(before - after) == 1 and len(after - before) == 1
     assert keyed.read(spark).count() == 200 and keyed.read(spark).where("name = 'b'").count() == 1
 
 
-def test_unused_versions_go(spark, keyed):
-    for seq in range(1, 5):
-        keyed.merge(batch(spark, (1, 15, f"n{seq}", seq, 0), (2, 16, "b", 1, 0)))
-    assert len(folders(spark, f"{keyed.path}/data")) == 4
-    keyed.drop_unused(spark, keep=1)
-    assert len(folders(spark, f"{keyed.path}/data")) < 4
-    assert content(keyed.read(spark)) == [(1, 15, "n4", 4, 0), (2, 16, "b", 1, 0)]
-
-
-def test_registered_table_follows_merges(spark, keyed):
+def test_view_follows_merges_and_new_columns(spark, keyed):
     keyed.merge(batch(spark, (1, 15, "a", 1, 0), (2, None, "n", 1, 0)))
-    keyed.register(spark, "registered", "a comment")
+    keyed.describe(spark, "a comment", {"quality": "silver"})
     keyed.merge(batch(spark, (1, 15, "b", 2, 0)).withColumn("extra", F.lit("e")))
-    assert sorted(r["name"] for r in spark.table("registered").collect()) == ["a", "n"]
-    keyed.register(spark, "registered")
-    found = spark.table("registered")
-    assert found.columns == ["id", "edition", "name", "seq", "tie", "extra"]
+    found = spark.table(keyed.name)
+    assert sorted(found.columns) == sorted(["id", "edition", "name", "seq", "tie", "extra"])
     assert sorted((r["name"], r["extra"]) for r in found.collect()) == [("b", "e"), ("n", None)]
+    shown = {r["key"]: r["value"] for r in tables.table_properties(spark, keyed.rows_name).collect()}
+    assert shown["quality"] == "silver"
+
+
+def test_changes_are_named_until_they_are_forgotten(spark, keyed):
+    assert keyed.changed_partitions(spark) == {}
+    for edition in (15, 16):
+        keyed.merge(batch(spark, (1, edition, "a", 1, 0)))
+    changed = keyed.changed_partitions(spark)
+    assert sorted(p.split("/")[0] for touched in changed.values() for p in touched) == ["edition=15", "edition=16"]
+    keyed.forget_changes(spark, list(changed)[:1])
+    assert list(keyed.changed_partitions(spark)) == list(changed)[1:]
+
+
+def test_buckets_of_some_keys(spark, tmp_path):
+    keyed = keyed_at(tmp_path, ("id", "edition"), partition_by="edition", bucket_by=("id",))
+    keyed.merge(batch(spark, *[(n, e, "a", 1, 0) for n in range(20) for e in (15, 16)]))
+    rows = keyed.read_rows(spark).groupBy("id").agg(F.count_distinct("key_bucket").alias("n"))
+    assert rows.where("n > 1").isEmpty()
+    with pytest.raises(ValueError, match="keys"):
+        keyed_at(tmp_path, ("id",), bucket_by=("name",))
 
 
-def test_optimize_keeps_every_row_and_covers_small_boxes(spark, keyed):
+def test_optimize_keeps_every_row_and_covers_small_boxes(spark, tmp_path):
+    keyed = keyed_at(tmp_path, ("id", "edition"), ("tie",), partition_by="edition", buckets=4)
     rows = spark.range(4000).select(
         (F.col("id") % 1000).cast("int").alias("id"), (F.col("id") % 4).cast("int").alias("edition"),
         F.lit("n").alias("name"), F.lit(1).alias("seq"),
@@ -192,14 +228,13 @@ def test_optimize_keeps_every_row_and_covers_small_boxes(spark, keyed):
     keyed.optimize(spark, ["tie"], rows_per_file=25)
     found = keyed.read(spark)
     assert content(found) == content(rows)
-    stored = spark.read.parquet(f"{keyed.path}/data/version={next(iter(set(keyed.manifest(spark).slots.values())))}")
-    spans = stored.groupBy(F.input_file_name()).agg((F.max("tie") - F.min("tie")).alias("span"))
+    spans = keyed.read(spark).groupBy(F.input_file_name()).agg((F.max("tie") - F.min("tie")).alias("span"))
     assert spans.agg(F.avg("span")).first()[0] < 0.5 * 2000
 
 
 def test_partition_column_must_be_a_key():
     with pytest.raises(ValueError, match="key"):
-        KeyedTable("t", ("id",), "seq", partition_by="edition")
+        KeyedTable("t", "t", ("id",), "seq", partition_by="edition")
 
 
 def test_timestamps_order_a_sequence(spark):
