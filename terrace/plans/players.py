@@ -4,10 +4,12 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 from math import ceil
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -25,7 +27,6 @@ from terrace.sinks.tables import (
     ensure_layer,
     export_external,
     grow_table,
-    partition_key,
     point_partitions,
     register_partitioned,
     set_properties,
@@ -312,22 +313,28 @@ class PlayersLake:
             spark, f"{self.bronze_layer}.{RAW}", raw.path, raw.stored_schema(spark), LOAD,
             COMMENTS[RAW], {"quality": "bronze"},
         )
-        batches = silver.changed_partitions(spark)
+        batches, touched = silver.changed_partitions(spark)
         if not batches:
             return []
-        levels = [partition.split("/") for touched in batches.values() for partition in touched]
-        editions = sorted({int(partition_key(edition)[1]) for edition, _ in levels})
-        buckets = sorted({int(partition_key(bucket)[1]) for _, bucket in levels})
+        editions = sorted({edition for edition, _ in touched})
+        buckets = sorted({bucket for _, bucket in touched})
         silver.describe(spark, COMMENTS[SILVER], {"quality": "silver"})
         rows = silver.read_rows(spark)
         changed = rows.where(F.col(EDITION).isin(editions)).drop(BUCKET)
-        self._swap(spark, NATIONS, nation_performance(changed), EDITION)
-        self._swap(spark, CLUBS, club_analysis(changed), EDITION)
-        self._swap(spark, AGES, age_analysis(changed), EDITION)
-        history = transfer_history(rows.where(F.col(BUCKET).isin(buckets)))
-        self._swap(spark, HISTORY, history.withColumn(BUCKET, silver.bucket()), BUCKET, {})
-        self._publish_rankings(spark, rankings(changed))
-        silver.forget_changes(spark, list(batches))
+        history = transfer_history(rows.where(F.col(BUCKET).isin(buckets))).withColumn(BUCKET, silver.bucket())
+        steps = [
+            lambda: self._swap(spark, NATIONS, nation_performance(changed), EDITION),
+            lambda: self._swap(spark, CLUBS, club_analysis(changed), EDITION),
+            lambda: self._swap(spark, AGES, age_analysis(changed), EDITION),
+            lambda: self._swap(spark, HISTORY, history, BUCKET, {}),
+            lambda: self._publish_rankings(spark, rankings(changed)),
+        ]
+        # tables of their own, whose jobs share the cluster
+        with ThreadPoolExecutor(max_workers=len(steps)) as pool:
+            started = [pool.submit(inheritable_thread_target(spark)(step)) for step in steps]
+            for step in started:
+                step.result()
+        silver.forget_changes(spark, batches)
         return editions
 
     def _ensure_layers(self, spark: SparkSession) -> None:

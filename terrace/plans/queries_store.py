@@ -149,7 +149,7 @@ def _keyed(spark: SparkSession, label: str) -> KeyedTable:
     layer, root = _layer(spark, label)
     return KeyedTable(
         f"{layer}.orders", f"{root}/orders", ("o_custkey", "o_orderpriority"), "o_orderdate",
-        ("o_orderkey",), partition_by="o_orderpriority", buckets=4,
+        ("o_orderkey",), partition_by="o_orderpriority", buckets=2,
     )
 
 

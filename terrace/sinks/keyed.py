@@ -18,20 +18,17 @@ import uuid
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from math import ceil
-from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.files import folders, remove
-from terrace.operators.upsert import latest_by_key, upsert
+from terrace.operators.upsert import upsert
 from terrace.sinks.clustered import cluster
 from terrace.sinks.tables import (
-    NULL_PARTITION,
     declare_table,
     grow_table,
-    partition_key,
     point_partitions,
     set_properties,
     swap_partitions,
@@ -87,32 +84,33 @@ class KeyedTable:
             raise ValueError(f"nothing was merged into {self.name} yet")
         return spark.table(self.rows_name)
 
-    def merge(self, changes: DataFrame) -> list[str]:
-        """Apply one batch of changes; returns the partitions that it touched."""
+    def merge(self, changes: DataFrame) -> list[tuple]:
+        """Apply one batch of changes; returns the partitions that it touched (see ``levels``)."""
         spark = changes.sparkSession
-        newest = latest_by_key(changes, self.keys, self.sequence, self.ties).withColumn(BUCKET, self.bucket())
-        # Written and not cached: the batch is computed once, survives lost executors, and
-        # its folders are the list of partitions that it touches.
+        # Written and not cached: the batch is computed once and survives lost executors.
         incoming = f"{self._changes}/batch={uuid.uuid4().hex}"
-        newest.write.partitionBy(*self.levels).parquet(incoming)
-        touched = folders(spark, incoming, len(self.levels))
+        changes.withColumn(BUCKET, self.bucket()).write.parquet(incoming)
+        batch = spark.read.parquet(incoming)
+        touched = self._partitions(batch)
         if not touched:
             remove(spark, incoming)
             return []
-        batch = spark.read.schema(newest.schema).parquet(incoming)
         self._declare(spark, batch.schema)
         current = spark.table(self.rows_name).where(self._within(touched))
         merged = upsert(current, batch, self.keys, self.sequence, self.ties)
         swap_partitions(merged, self.rows_name, self.path, self.levels)
         return touched
 
-    def changed_partitions(self, spark: SparkSession) -> dict[str, list[str]]:
-        """The partitions that each batch since ``forget_changes`` has touched, by batch."""
-        found: dict[str, list[str]] = {}
-        for folder in folders(spark, self._changes, 1 + len(self.levels)):
-            batch, _, partition = folder.partition("/")
-            found.setdefault(batch, []).append(partition)
-        return found
+    def changed_partitions(self, spark: SparkSession) -> tuple[list[str], list[tuple]]:
+        """The batches since ``forget_changes`` and the partitions that they have touched."""
+        batches = folders(spark, self._changes)
+        if not batches:
+            return [], []
+        return batches, self._partitions(spark.read.parquet(*(f"{self._changes}/{b}" for b in batches)))
+
+    def _partitions(self, rows: DataFrame) -> list[tuple]:
+        """Partitions that occur in ``rows``: as many as the table has at most."""
+        return [tuple(r) for r in rows.select(*self.levels).distinct().collect()]
 
     def forget_changes(self, spark: SparkSession, batches: Sequence[str]) -> None:
         for batch in batches:
@@ -147,18 +145,16 @@ class KeyedTable:
             shown = ", ".join(f"`{c}`" for c in columns if c != BUCKET)
             spark.sql(f"CREATE OR REPLACE VIEW {self.name} AS SELECT {shown} FROM {self.rows_name}")
 
-    def _within(self, partitions: Sequence[str]) -> Column:
+    def _within(self, partitions: Sequence[tuple]) -> Column:
         """Whether a row belongs to one of ``partitions``; literals, so that the scan is pruned."""
-        buckets: dict[str | None, list[int]] = {}
-        for partition in partitions:
-            value, _, bucket = partition.rpartition("/")
-            buckets.setdefault(value or None, []).append(int(partition_key(bucket)[1]))
+        buckets: dict[tuple, list[int]] = {}
+        for *value, bucket in partitions:
+            buckets.setdefault(tuple(value), []).append(bucket)
         found = F.lit(False)
         for value, numbers in buckets.items():
             one = F.col(BUCKET).isin(numbers)
-            if value is not None:
-                text = partition_key(value)[1]
+            for v in value:
                 column = F.col(self.partition_by)
-                one &= column.isNull() if text == NULL_PARTITION else column == F.lit(unquote(text))
+                one &= column.isNull() if v is None else column == F.lit(v)
             found |= one
         return found
