@@ -187,11 +187,19 @@ def without_items(
     error_rate: float = 0.1,
     group_letters: int = 4_000_000,
 ) -> DataFrame:
-    """The rows of ``docs`` that hold no item; rows stay where they are, nothing is shuffled."""
+    """The rows of ``docs`` that hold no item; rows stay where they are, nothing is shuffled.
+
+    With several groups of items, the rows that are left are written after each but the last, so that a
+    task holds the automaton of one group only, whatever the benchmark's size.
+    """
     cleaned, groups = _cleaned(benchmark, group_letters)
+    path = scratch_path(docs.sparkSession, "without-items")
     for number in range(groups):
         items = _group(cleaned.where(F.col("part") == number))
         docs = docs.where(~_holds(items, error_rate, F.coalesce("text", F.lit(""))))
+        if number < groups - 1:
+            docs.write.parquet(f"{path}/{number}")
+            docs = docs.sparkSession.read.parquet(f"{path}/{number}")
     return docs
 
 

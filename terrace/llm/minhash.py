@@ -17,10 +17,10 @@ similarity reaches the threshold; a component is what links reach.
 
 With 24 bands of 5 hashes a pair at similarity 0.85 is no candidate with probability 8e-7.
 
-Rows without text or words have no shingles and stand alone.  A null doc_id can be a copy of
-another document but is never the name of a component; such rows stand alone otherwise, with a null
-component, and are kept.  Repeated rows share a component.  Rows of one doc_id with different
-texts are separate documents.
+Rows without text or words have no shingles and stand alone.  Rows without doc_id are linked as all others,
+but a component is named by one only if it has no other rows.  Repeated rows share a component.  Rows
+of one doc_id with different texts are separate documents.  Texts are looked at whole, whatever their
+length.  Other columns are not read, whatever their names.  An empty table has an empty result.
 """
 
 from __future__ import annotations
@@ -37,6 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from terrace.llm.components import connected_components
+from terrace.llm.lookup import looked_up
 from terrace.llm.tiles import Forest, Links, Tile, links, tile
 from terrace.session import scratch_path
 
@@ -173,23 +174,13 @@ def sketch(docs: DataFrame, settings: Settings) -> DataFrame:
 
 
 def _nodes(sketches: DataFrame) -> DataFrame:
-    """One row for each word sequence, named by its smallest doc_id."""
+    """One row for each word sequence, named by its first row (see ``near_duplicates``)."""
+    place = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_md5")
     return (
-        sketches.where("n_shingles > 0 AND doc_id IS NOT NULL")
+        sketches.where("n_shingles > 0")
         .groupBy("same")
-        .agg(
-            F.min(F.struct("doc_id", "text_md5")).alias("first"),
-            F.first("bands").alias("bands"),
-            F.first("sign").alias("sign"),
-        )
-        .select(
-            F.monotonically_increasing_id().alias("node"),
-            "same",
-            F.col("first.doc_id").alias("doc_id"),
-            F.col("first.text_md5").alias("text_md5"),
-            "bands",
-            "sign",
-        )
+        .agg(F.min(place).alias("first"), F.first("bands").alias("bands"), F.first("sign").alias("sign"))
+        .select(F.monotonically_increasing_id().alias("node"), "same", "first", "bands", "sign")
     )
 
 
@@ -243,7 +234,13 @@ def _opened(settings: Settings) -> Callable[[Tile], Links]:
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """doc_id, text_md5, n_shingles, component_id and kept for every row of ``docs``."""
+    """doc_id, text_md5, n_shingles, component_id, stays_id, stays_md5 and kept for every row of ``docs``.
+
+    The first row of a component has the least doc_id (null comes last) and then the least md5 of its
+    text: ``stays_id`` and ``stays_md5``; ``component_id`` is that doc_id.  Rows without words are
+    components of their own.  ``kept`` says that a row has the doc_id of its component, or, in a
+    component without any, the text of its first row.
+    """
     spark = docs.sparkSession
     path = scratch_path(spark, "minhash")
     sketch(docs, settings).write.parquet(f"{path}/sketches")
@@ -255,30 +252,32 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     tile(members, settings.block).write.parquet(f"{path}/tiles")
     tiles = spark.read.parquet(f"{path}/tiles")
     needed = nodes.join(tiles.select("node").distinct(), "node", "left_semi")
+    needed = needed.select("node", "first.text_md5", "bands", "sign")
     text = F.coalesce("text", F.lit(""))
-    texts = docs.where("doc_id IS NOT NULL").select(
-        F.col("doc_id").cast("long").alias("doc_id"), F.md5(text).alias("text_md5"), text.alias("text")
-    )
-    # repeated rows go before the shuffle
-    texts = texts.dropDuplicates(["doc_id", "text_md5"])
-    known = texts.join(needed.drop("same"), ["doc_id", "text_md5"]).drop("doc_id", "text_md5")
+    texts = docs.select(F.md5(text).alias("text_md5"), text.alias("text"))
+    # equal texts go before the shuffle
+    known = texts.dropDuplicates(["text_md5"]).join(needed, "text_md5").drop("text_md5")
     found = links(tiles.join(known, "node"), ["text", "bands", "sign"], lambda: _opened(settings))
     found.write.parquet(f"{path}/links")
 
     roots = connected_components(spark.read.parquet(f"{path}/links"))
-    rooted = nodes.select("node", "same", "doc_id").join(roots, "node")
-    least = rooted.groupBy("root").agg(F.min("doc_id").alias("least"))
+    rooted = nodes.select("node", "same", "first").join(roots, "node")
+    least = rooted.groupBy("root").agg(F.min("first").alias("least"))
     linked = rooted.join(least, "root").select("same", "least")
-    named = nodes.select("same", F.col("doc_id").alias("first")).join(linked, "same", "left")
-    component = F.when(F.col("n_shingles") == 0, F.col("doc_id")).otherwise(
-        F.coalesce("least", "first")
+    named = nodes.select("same", "first").join(linked, "same", "left").select(
+        "same", F.coalesce("least", "first").alias("stays")
     )
-    return (
-        sketches.select("doc_id", "text_md5", "n_shingles", "same")
-        .join(named, "same", "left")
-        .select("doc_id", "text_md5", "n_shingles", component.alias("component_id"))
-        .withColumn(
-            "kept",
-            F.coalesce(F.col("doc_id") == F.col("component_id"), F.col("component_id").isNull()),
-        )
+    named.write.parquet(f"{path}/named")
+    rows = sketches.select("doc_id", "text_md5", "n_shingles", "same")
+    met = looked_up(rows, "same", spark.read.parquet(f"{path}/named"))
+    own = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_md5")
+    stays = F.coalesce("stays", own)
+    return met.select(
+        "doc_id", "text_md5", "n_shingles",
+        stays["doc_id"].alias("component_id"),
+        stays["doc_id"].alias("stays_id"),
+        stays["text_md5"].alias("stays_md5"),
+        F.when(stays["unnamed"], F.col("text_md5") == stays["text_md5"])
+        .otherwise(F.coalesce(F.col("doc_id") == stays["doc_id"], F.lit(False)))
+        .alias("kept"),
     )

@@ -35,6 +35,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from terrace.llm.lookup import looked_up
 from terrace.session import scratch_path
 
 ROOT = bytes(16)
@@ -220,23 +221,6 @@ def _parts(turns: DataFrame, settings: Settings) -> DataFrame:
     return dealt.select("conv_id", "place", "symbol", "bytes").mapInPandas(run, _PARTS)
 
 
-def _looked_up(frame: DataFrame, key: str, table: DataFrame, heavy: int, kind: str = "left") -> DataFrame:
-    """``frame`` joined with the rows of ``table``, unique by ``key``.
-
-    Keys that hold more than a ``heavy``-th of the rows, of which there are fewer than ``heavy``, are
-    broadcast, so that the rows of such a key stay where they are.
-    """
-    size = frame.groupBy(key).agg(F.count("*").alias("_size")).where(F.col(key).isNotNull())
-    most = max(1, frame.count() // heavy)
-    hot = size.where(F.col("_size") > most).select(key, F.lit(True).alias("_hot"))
-    marked = frame.join(F.broadcast(hot), key, "left")
-    often = table.join(F.broadcast(hot), key, "left_semi")
-    return (
-        marked.where("_hot").drop("_hot").join(F.broadcast(often), key, kind)
-        .unionByName(marked.where("_hot IS NULL").drop("_hot").join(table, key, kind))
-    )
-
-
 def _subtree_sums(shared: DataFrame, written, heavy: int) -> DataFrame:
     """key with leaves and saved summed over its subtree, for key, up (the parent), leaves and saved."""
     state, number = shared, 0
@@ -252,7 +236,7 @@ def _subtree_sums(shared: DataFrame, written, heavy: int) -> DataFrame:
         )
         jumps = state.select(F.col("key").alias("up"), F.col("up").alias("next"))
         summed = written(summed, f"summed-{number}")
-        jumped = _looked_up(summed, "up", jumps, heavy)
+        jumped = looked_up(summed, "up", jumps, heavy)
         state = written(jumped.select("key", F.col("next").alias("up"), "leaves", "saved"), f"sums-{number}")
         number += 1
     return state.select("key", F.col("leaves").alias("n_leaves"), F.col("saved").alias("saved_tokens"))
@@ -338,7 +322,7 @@ def prefix_nodes(turns: DataFrame, settings: Settings = Settings()) -> DataFrame
     sums = written(_subtree_sums(shared, written, settings.heavy), "sums")
     ends = written(_ends(last, settings), "ends")
     above = nodes.select(F.col("key").alias("parent"), F.col("conv_id").alias("parent_conv_id"))
-    found = _looked_up(counted, "parent", above, settings.heavy)
+    found = looked_up(counted, "parent", above, settings.heavy)
     found = found.join(sums, "key", "left").join(ends, "key", "left")
     return found.select(
         "key", "conv_id", F.col("depth").cast("long").alias("depth"), "parent_conv_id", "n_convs",

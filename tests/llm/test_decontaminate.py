@@ -1,4 +1,5 @@
 import random
+import re
 
 import pytest
 from hypothesis import given, settings
@@ -119,3 +120,17 @@ def test_odd_tables(spark):
     assert got == sorted([(1, 7, 0, 0, 3)] * 2 + [(None, 7, 0, 1, 4), (4, 7, 1, 0, 2), (5, 7, 0, 50_000, 50_003)], key=str)
     assert find_items(docs.limit(0), items).count() == 0
     assert find_items(docs, items.limit(0)).count() == 0
+
+
+def test_groups_never_share_a_stage(spark):
+    """Seven groups: one Python node in the plan of each written step, the same rows as in one."""
+    items = [(n, f"item {n} " + " ".join(f"w{n}x{k}" for k in range(12))) for n in range(30)]
+    benchmark = spark.createDataFrame(items, "item_id long, text string")
+    texts = [(n, f"before {items[n % 40][1] if n % 40 < 30 else 'clean words'} after") for n in range(80)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    letters = sum(len(t) for _, t in items)
+    left = without_items(docs, benchmark, group_letters=letters // 6)
+    plan = left._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall("ArrowEvalPython", plan)) == 1
+    assert sorted(map(tuple, left.collect())) == sorted(map(tuple, without_items(docs, benchmark).collect()))
+    assert left.count() == 20

@@ -1,12 +1,12 @@
 import zlib
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline as cp
 from terrace.llm.decontaminate import plain
-from tests.llm.test_decontaminate import brute
 from tests.llm.test_minhash import roots_of
 from tests.llm.test_mixing import copies
 from tests.llm.test_token_output import expected as token_rows
@@ -62,17 +62,55 @@ def test_near_duplicates_keep_one_of_each_group(stages):
     assert sorted(texts(stages["near_duplicates"])) == sorted(d for d in sets if roots.get(d, d) == d)
 
 
+def least_errors(items, text):
+    """The least edit distance of each item to a part of ``text``, by dynamic programming over its letters."""
+    width = max(map(len, items))
+    letters = np.zeros((len(items), width), dtype=np.int32)
+    for n, item in enumerate(items):
+        letters[n, : len(item)] = [ord(c) for c in item]
+    steps = np.arange(width + 1)
+    column = np.tile(steps, (len(items), 1))
+    ends = np.array([len(i) for i in items])
+    best = column[np.arange(len(items)), ends].copy()
+    for letter in map(ord, text):
+        found = np.empty_like(column)
+        found[:, 0] = 0
+        found[:, 1:] = np.minimum(column[:, :-1] + (letters != letter), column[:, 1:] + 1)
+        column = np.minimum.accumulate(found - steps, axis=1) + steps
+        best = np.minimum(best, column[np.arange(len(items)), ends])
+    return best
+
+
 def test_decontamination_drops_what_holds_an_item(spark, stages):
     items = [plain(r.text) for r in spark.read.parquet(f"{FOLDER}/benchmark.parquet").collect()]
+    allowed = np.array([int(len(i) * 0.1) for i in items])
     before, after = texts(stages["near_duplicates"]), texts(stages["decontamination"])
-    for doc_id in sorted(before)[:60] + sorted(set(before) - set(after))[:20]:
-        text = plain(before[doc_id])[:3000] if doc_id in after else plain(before[doc_id])
-        held = any(i in text for i in items) or (len(text) < 1500 and any(
-            brute(i, text) <= int(len(i) * 0.05) for i in items))
+    whole = {d: plain(t or "") for d, t in before.items()}
+    long = [d for d in whole if len(whole[d]) > 20_000][:1]
+    gone = sorted(set(before) - set(after))
+    assert gone
+    for doc_id in long + gone[:15] + sorted(d for d in after if len(whole[d]) < 3000)[:40]:
+        held = bool((least_errors(items, whole[doc_id]) <= allowed).any())
         assert held == (doc_id not in after)
     assert all(not any(i in plain(t) for i in items) for t in after.values())
 
 
+@pytest.mark.parametrize("ids", [[5, 5, 7, None, None], [None] * 5, [8, 8, 8, 8, 8], [None, 3, None, 3, 2]])
+def test_near_duplicates_without_and_with_repeated_ids(spark, ids):
+    words = [f"w{n}" for n in range(60)]
+    near = [" ".join([*words[:-1], f"end{n}"]) for n in range(5)]
+    other = " ".join(reversed(words))
+    rows = [(i, t, "en", "s", 1) for i, t in zip(ids, near, strict=True)]
+    rows += [rows[0], (rows[1][0], rows[1][1], "de", "r", 1), (None, other, "en", "s", 1), (None, other, "de", "s", 1)]
+    schema = "doc_id long, text string, lang string, source string, n_chars long"
+    kept = {tuple(cp.near_duplicates(spark, spark.createDataFrame(rows, schema).repartition(n), FOLDER)
+            .orderBy("text").collect()) for n in (1, 3)}
+    assert len(kept) == 1
+    alike, alone = sorted(next(iter(kept)), key=lambda r: r.text == other)
+    assert alone.lang == "de" and alone.doc_id is None
+    assert alike.doc_id == min((i for i in ids if i is not None), default=None) and alike.text in near
+
+
 def test_mixing_draws_every_document(stages):
     before = stages["decontamination"]
     rate = {r.source: r.rate for r in rates(before)[0].collect()}
