@@ -40,14 +40,16 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest doc_id of each group of near copies (five words, 0.8).
+    """One row of each group of near copies (five words, 0.8): the one with the smallest doc_id.
 
-    Of rows that repeat doc_id and text one stays; of copies without doc_id one stays.
+    Null comes after all doc_ids.  Among rows of one doc_id that has several texts in a group, the least
+    md5 stays, and among rows that repeat doc_id and text, the one whose other columns are least.
     """
     settings = minhash.Settings(words=5, percent=80, bands=30)
     found = minhash.near_duplicates(docs, settings)
     # without a doc_id, text is all that names a row
-    gone = found.where("NOT kept").select("doc_id", "text_md5").distinct()
+    stays = F.col("doc_id").eqNullSafe(F.col("stays_id")) & (F.col("text_md5") == F.col("stays_md5"))
+    gone = found.where(~stays).select("doc_id", "text_md5").distinct()
     name = F.md5(F.coalesce("text", F.lit("")))
     packed = docs.select(F.struct("*").alias("doc"), F.col("doc_id").alias("id"), name.alias("name"))
     left = packed.join(
@@ -55,7 +57,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
         packed["id"].eqNullSafe(gone["doc_id"]) & (packed["name"] == gone["text_md5"]),
         "left_anti",
     )
-    return _same_columns(left.dropDuplicates(["id", "name"]), docs)
+    others = F.to_json(F.struct(F.lit(0), *(F.col("doc")[c] for c in docs.columns if c != "text")))
+    return _same_columns(left.groupBy("id", "name").agg(F.min_by("doc", others).alias("doc")), docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
