@@ -53,11 +53,16 @@ _BLANKS = "".join(map(chr, range(0x21)))
 
 
 def first_lines(
-    spark: SparkSession, paths: Sequence[str], charset: str = "UTF-8", comment: str | None = None
+    spark: SparkSession,
+    paths: Sequence[str],
+    charset: str = "UTF-8",
+    comment: str | None = None,
+    limit: int = 1 << 22,
 ) -> list[str | None]:
     """The first line of each file that is neither blank nor begins with ``comment``; ``None`` without one.
 
     Read by threads, without a Spark job.  Files that a Hadoop codec compressed are opened through it.
+    No more than ``limit`` bytes of a file are read; a header that does not end there is an error.
     """
     jvm = spark.sparkContext._jvm
     codecs = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(
@@ -70,12 +75,15 @@ def first_lines(
         codec = codecs.getCodec(hadoop)
         if codec is not None:
             stream = codec.createInputStream(stream)
-        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(stream, charset))
+        bounded = jvm.org.apache.commons.io.input.BoundedInputStream(stream, limit)
+        reader = jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(bounded, charset))
         try:
             while (line := reader.readLine()) is not None:
                 if line.strip(_BLANKS) and not (comment and line.startswith(comment)):
-                    return line
-            return None
+                    break
+            if bounded.getCount() >= limit and (line is None or reader.readLine() is None):
+                raise ValueError(f"{path}: no header within its first {limit} bytes")
+            return line
         finally:
             reader.close()
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from terrace.functions.columns import number_in_text
@@ -342,8 +342,8 @@ def declared_stream_target(spark: SparkSession, sf_dir: str) -> DataFrame:
     name, orders = f"{layer}.orders", table(spark, sf_dir, "orders")
     declare_table(spark, name, orders.schema, "Orders of all years", {"quality": "bronze"})
     append_available_now(_stream(spark, sf_dir, "orders"), f"{root}__checkpoint", table=name)
-    return _described(spark, name).join(
-        scan(spark, name).agg(F.count("*").alias("row_count"), F.sum("o_custkey").alias("key_sum"))
+    return scan(spark, name).agg(
+        *_described(spark, name), F.count("*").alias("row_count"), F.sum("o_custkey").alias("key_sum")
     )
 
 
@@ -360,20 +360,17 @@ def derived_table_properties(spark: SparkSession, sf_dir: str) -> DataFrame:
     name = f"{layer}.order_counts"
     counts = table(spark, sf_dir, "orders").groupBy("o_orderstatus").agg(F.count("*").alias("n"))
     save_table(counts, name, comment="Orders per status", properties={"quality": "gold"})
-    return _described(spark, name).join(
-        scan(spark, name).agg(F.count("*").alias("row_count"), F.sum("n").alias("order_count"))
+    return scan(spark, name).agg(
+        *_described(spark, name), F.count("*").alias("row_count"), F.sum("n").alias("order_count")
     )
 
 
-def _described(spark: SparkSession, name: str) -> DataFrame:
-    """comment and quality of a table, one row; null without them."""
-    quality = table_properties(spark, name).agg(
-        F.max(F.when(F.col("key") == "quality", F.col("value"))).alias("quality")
-    )
-    comment = describe(spark, name).agg(
-        F.max(F.when(F.col("col_name") == "Comment", F.col("data_type"))).alias("comment")
-    )
-    return comment.join(quality)
+def _described(spark: SparkSession, name: str) -> list[Column]:
+    """comment and quality of a table as the catalog has them; null without."""
+    quality = table_properties(spark, name).where("key = 'quality'").select("value").first()
+    comment = describe(spark, name).where("col_name = 'Comment'").select("data_type").first()
+    found = {"comment": comment, "quality": quality}
+    return [F.lit(row[0] if row else None).cast("string").alias(n) for n, row in found.items()]
 
 
 @query("SELECT o_orderstatus, 'current' AS layer, count(*) AS row_count FROM orders GROUP BY o_orderstatus")

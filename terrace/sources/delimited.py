@@ -1,15 +1,18 @@
 """CSV files whose headers differ, read by column name.
 
 One ``csv()`` call over files with different headers maps cells by position and
-shifts values without an error.  Here the header of each file is read first, files
-with equal headers are scanned together, and the scans are unioned by name.
+shifts values without an error.  Here the header of each file is read first.  Files whose
+headers have as many cells are one scan, however many headers they have, and each row is named by the header
+of its file; the scans are unioned by name.
 """
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
+from urllib.parse import unquote
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -21,6 +24,9 @@ from terrace.sources.schema_log import union_types
 
 RESCUED = "_rescued_data"
 _MALFORMED = "_malformed_line"
+_FILE = "_header_of"
+#: Paths of local files are written with one slash or three.
+_SCHEME = r"^([A-Za-z0-9+.-]+):/+"
 
 
 def list_files(spark: SparkSession, path: str, glob: str = "*.csv") -> list[str]:
@@ -90,27 +96,84 @@ def read_groups(
     JSON; it is null for ordinary rows.
     """
     wanted = union_schema(groups) if schema is None else schema
-    scans = []
+    by_width: dict[int, dict[tuple[str, ...], Sequence[str]]] = {}
     for header, paths in groups.items():
-        fields = [T.StructField(c, T.StringType()) for c in (*header, _MALFORMED)]
-        scan = (
-            spark.read.options(**_options(options))
-            .option("columnNameOfCorruptRecord", _MALFORMED)
-            .option("columnPruning", False)
-            .schema(T.StructType(fields))
-            .csv(list(paths))
-        )
-        extra = []
-        if lineage:
-            plain = scan.columns
-            scan = with_lineage(scan, number, pattern)
-            extra = [c for c in scan.columns if c not in plain]
-        scans.append(scan.select(*_by_name(header, wanted), *extra))
-    if not scans:
+        by_width.setdefault(len(header), {})[header] = paths
+    if not by_width:
         raise ValueError("no file with a header")
+    scans = [
+        _read_width(spark, same, width, wanted, number, pattern, lineage, _options(options))
+        for width, same in by_width.items()
+    ]
     return reduce(DataFrame.unionByName, scans)
 
 
+def _read_width(
+    spark: SparkSession,
+    groups: Mapping[tuple[str, ...], Sequence[str]],
+    width: int,
+    wanted: T.StructType,
+    number: str | None,
+    pattern: str | None,
+    lineage: bool,
+    options: Mapping[str, str],
+) -> DataFrame:
+    """Files whose headers have ``width`` cells in one scan by place.
+
+    With several headers, the place of each column in a row's file is looked up by the file's path: the map
+    has one row per file.
+    """
+    cells = [f"_cell_{n}" for n in range(width)]
+    fields = [T.StructField(c, T.StringType()) for c in (*cells, _MALFORMED)]
+    scan = (
+        spark.read.options(**options)
+        .option("columnNameOfCorruptRecord", _MALFORMED)
+        .option("columnPruning", False)
+        .schema(T.StructType(fields))
+        .csv([p for paths in groups.values() for p in paths])
+    )
+    extra = []
+    if lineage:
+        scan = with_lineage(scan, number, pattern)
+        extra = [c for c in scan.columns if c not in (*cells, _MALFORMED)]
+    if len(groups) == 1:
+        header = next(iter(groups))
+        named = scan.withColumnsRenamed(dict(zip(cells, header, strict=True)))
+        return named.select(*_by_name(header, wanted), *extra)
+    encoded = F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))
+    placed = scan.withColumn(_FILE, F.regexp_replace(F.url_decode(encoded), _SCHEME, "$1:/"))
+    headers = spark.createDataFrame(
+        [
+            (re.sub(_SCHEME, r"\1:/", unquote(path)), *_places(header, wanted))
+            for header, paths in groups.items()
+            for path in paths
+        ],
+        f"{_FILE} string, _places array<int>, _outside map<string,int>",
+    )
+    unknown = F.raise_error(F.concat(F.lit("no header is known for "), _FILE)).cast("array<int>")
+    row = F.array(*cells)
+    columns = [
+        F.get(row, F.get(F.coalesce("_places", unknown), F.lit(n))).alias(f.name)
+        for n, f in enumerate(wanted)
+    ]
+    outside = F.transform_values("_outside", lambda _, place: F.get(row, place))
+    filled = F.map_filter(
+        F.map_concat(outside, F.create_map(F.lit(_MALFORMED), F.col(_MALFORMED))),
+        lambda _, value: value.isNotNull(),
+    )
+    rescued = F.when(F.cardinality(filled) > 0, F.to_json(filled)).alias(RESCUED)
+    met = placed.join(F.broadcast(headers), _FILE, "left")
+    return met.select(*columns, rescued, *extra)
+
+
+def _places(header: Sequence[str], wanted: T.StructType) -> tuple[list[int | None], dict[str, int]]:
+    """Where a file has each wanted column (none: null), and where its other columns are."""
+    present = {c.lower(): n for n, c in enumerate(header)}
+    known = {f.name.lower() for f in wanted}
+    outside = {c: n for n, c in enumerate(header) if c.lower() not in known}
+    return [present.get(f.name.lower()) for f in wanted], outside
+
+
 def read_by_header(
     spark: SparkSession,
     path: str,

@@ -74,6 +74,9 @@ def summary_available_now(
     writer = _available_now(summary, checkpoint).outputMode("complete")
     query = writer.foreachBatch(replace).start()
     query.awaitTermination()
+    # batches run in a session of their own; this one may remember the files before
+    if summary.sparkSession.catalog.tableExists(name):
+        summary.sparkSession.catalog.refreshTable(name)
     return query
 
 

@@ -5,6 +5,7 @@ import json
 
 import pytest
 
+from terrace.files import first_lines
 from terrace.sources.delimited import header_groups, list_files, read_by_header
 from terrace.sources.schema_log import load_schema, save_schema
 from terrace.streaming.ingest import RawTable
@@ -204,3 +205,36 @@ def test_headers_cost_no_job_per_file(spark, tmp_path, files):
     assert len(set(tracker.getJobIdsForGroup(None)) - before) <= 2
     assert sorted(len(v) for v in groups.values()) == [files // 2, files // 2 + 1]
     assert len(groups["id", "club", "v"]) == files // 2 + 1
+
+
+def test_many_headers_are_one_scan(spark, tmp_path):
+    """500 headers of one width: one scan, the rows of reading each file by itself."""
+    names = [f"c{n}" for n in range(12)]
+    expected = []
+    for n in range(500):
+        header = [names[(n * k + k) % 12] for k in (1, 5, 7)] if n % 3 else [f"own{n}", names[n % 12], "c0x"]
+        header = list(dict.fromkeys(header)) + [f"z{k}" for k in range(3 - len(set(header)))]
+        cells = [f"{n}-{k}" if (n + k) % 5 else "" for k in range(3)]
+        (tmp_path / f"f{n}.csv").write_text(",".join(header) + "\n" + ",".join(cells) + "\n" + "short\n" * (n % 100 == 0))
+        values = {h: c or None for h, c in zip(header, cells, strict=True)}
+        outside = {h: c for h, c in values.items() if h not in names and c}
+        expected.append((tuple(values.get(c) for c in names), sorted(outside.items())))
+    schema = spark.createDataFrame([], ", ".join(f"{c} string" for c in names)).schema
+    found = read_by_header(spark, str(tmp_path), schema=schema)
+    assert plan_of(found).count("FileScan csv") == 1
+    rows = [(tuple(r[c] for c in names), json.loads(r["_rescued_data"] or "{}")) for r in found.collect()]
+    whole = [(cells, sorted(more.items())) for cells, more in rows if "_malformed_line" not in more]
+    assert sorted(whole, key=str) == sorted(expected, key=str)
+    assert sum("_malformed_line" in more for _, more in rows) == 5
+
+
+def test_a_file_without_line_feeds_is_not_read_whole(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x" * 5000)
+    with pytest.raises(Exception, match="no header"):
+        first_lines(spark, [str(tmp_path / "a.csv")], limit=1000)
+    (tmp_path / "b.csv").write_text("a,b\n" + "x" * 5000)
+    assert first_lines(spark, [str(tmp_path / "b.csv")], limit=1000) == ["a,b"]
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
