@@ -91,6 +91,12 @@ def test_given_documents(spark):
     [
         ("IBAN DE89 3704 0044 0532 0130 00 ok", "iban:5:32", 1.0),
         ("xx DE88 3704 0044 0532 0130 00 ok", "", 0.0),
+        ("IBAN DE89 3704 0044 0532 0130 00 BIC COBADEFFXXX", "iban:5:32", 1.0),
+        ("DE89370400440532013000 EUR 500", "iban:0:22", 0.7),
+        ("GB82 WEST 1234 5698 7654 32 A note", "iban:0:27", 0.7),
+        ("DE89370400440532013000 GB82WEST12345698765432", "iban:0:22,iban:23:45", 0.7),
+        ("FR14 2004 1010 0505 0001 3M02 606 NO93 8601 1117 947", "iban:0:33,iban:34:52", 0.7),
+        ("DE89370400440532013000X GB82WEST1234569876543", "", 0.0),
         ("my SSN is 123-45-6789", "ssn:10:21", 0.6),
         ("part 123-45-6789", "", 0.0),
         ("pay by card 4111 1111 1111 1111", "card:12:31", 0.9),
