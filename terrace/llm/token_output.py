@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 CHECKPOINT = 128
 BLOCK_IDS = 1 << 17
-_CACHED_WORDS = 150_000
+_CACHED_WORDS = 300_000
 _NO_SPACE = "\x1c\x1d\x1e\x1f"
 _CACHED_LENGTH = 48
 _TEXTS_AT_ONCE = 500
@@ -168,9 +168,11 @@ def token_ids(docs: DataFrame, tokenizer_path: str, end_id: int) -> DataFrame:
         for batch in batches:
             found: list[bytes] = []
             for at in range(0, len(batch), _TEXTS_AT_ONCE):
-                some = batch["text"].iloc[at : at + _TEXTS_AT_ONCE]
-                parts = [_cut(t) if by_word else [t] for t in some]
-                found += [ids + end for ids in words.ids_of(parts)]
+                some = batch["text"].iloc[at : at + _TEXTS_AT_ONCE].tolist()
+                texts = list(dict.fromkeys(some))  # equal ones are encoded once
+                ids = words.ids_of([_cut(t) if by_word else [t] for t in texts])
+                ids_of = {t: i + end for t, i in zip(texts, ids, strict=True)}
+                found += [ids_of[t] for t in some]
             for at in range(0, len(found), 500):
                 some = np.frombuffer(b"".join(found[at : at + 500]), dtype=words.dtype)
                 counts = np.bincount(some)
