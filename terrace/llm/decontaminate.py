@@ -11,7 +11,8 @@ groups by hash, and the documents are passed once for each group; nothing else g
 benchmark.  Documents are never shuffled.
 
 Null, empty and wordless texts or items match nothing.  Very long texts are looked at whole.
-Repeated rows give repeated results; a null doc_id or item_id stays null.
+Repeated rows give repeated results; a null doc_id or item_id stays null.  Other columns, whatever their
+names, are not read; an empty table on either side matches nothing.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ matching decides there and reports the span.
 
 Both run on the words of a text joined by single spaces, lower-cased (A-Z).  Null and empty
 texts have no words, no labels and score 0.  Very long texts are looked at in one pass;
-repeated rows give repeated results; a null doc_id stays null.
+repeated rows give repeated results; a null doc_id stays null.  Other columns, whatever their names,
+are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -12,6 +12,8 @@
 A document is rejected when the probability falls below ``least``.  Null hosts and paths are groups
 of their own.  Null and empty texts hold no evidence against them: they count as the global rate and
 are kept.  Without labels of both kinds all documents are kept.  Repeated rows get equal results.
+Very long texts are measured whole.  Other columns, whatever their names, come back in ``doc``; an empty
+table gives no rows.
 """
 
 from __future__ import annotations

@@ -12,7 +12,8 @@ that Spark writes to:
 Documents are dealt out by ranges of (doc_id, crc32, a seeded number), so copies of one row
 may go to several tasks.  Null texts count as empty and hold just the end id; a null doc_id comes
 first; rows of one doc_id are ordered by the crc32 of their ids, then by the ids.  An empty table
-gives an empty file set.
+gives an empty file set.  Very long texts are encoded whole, and a block holds at least one document.
+Other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

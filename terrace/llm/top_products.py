@@ -15,7 +15,8 @@ longest first, in blocks of bounded size; queries likewise.
 Products are integers, computed exactly; bounds carry a margin for rounding.  Equal scores go
 to the smaller vec_id.  Vectors that are null or hold null or non-finite components, or
 whose vec_id is null, take no part; shorter ones count as filled up with zeros.  Rows that
-repeat a vec_id are different rows: each is a candidate, and no query meets its own row.
+repeat a vec_id are different rows: each is a candidate, and no query meets its own row.  Other
+columns, whatever their names, are not read; an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -53,6 +53,14 @@ def test_odd_vectors(spark):
     assert got(spark, rows[:1]) == [] and got(spark, []) == []
 
 
+def test_other_columns_of_the_same_names(spark):
+    rows = [(n * 10, [float(n % 4), 1.0 - n]) for n in range(12)]
+    names = ("row", "v", "squares", "part", "place", "score", "rank", "query_id")
+    table = spark.createDataFrame(rows, SCHEMA).withColumns({n: F.lit(n) for n in names})
+    out = top_products(table, F.col("vec_id") % 50 == 0)
+    assert sorted(map(tuple, out.collect())) == expected(rows)
+
+
 def test_large_components_stay_exact(spark):
     rows = [(n * 25, [float(2**22 + n), float(2**22 - 3 * n), 1.0]) for n in range(20)]
     assert got(spark, rows) == expected(rows)
