@@ -1,14 +1,15 @@
 """A catalog table that is updated by key, one batch at a time.
 
 The table is partitioned by a key column (if one is given) and by a hash bucket of key columns.  A
-merge reads the partitions that its batch touches, writes their new rows to a folder of their
-own and then points these partitions there in the catalog.  No file is overwritten: a reader that has begun
+merge writes the latest rows of its batch by partition.  Partitions that the table lacks are pointed to these
+files in the catalog; of the others that the batch touches it reads what they hold, writes
+their new rows to a folder of their own and points them there.  No file is overwritten: a reader that has begun
 finishes on what it found, and a merge that stops before its last step leaves the old rows.
 One that stops among partitions has replaced some of them, which merging the batch again completes: the
 latest row of a key wins, however often it comes.  There may be one writer at a time.
 
-``name`` is a view without the bucket column; the partitions belong to ``name__rows``.  Each batch
-stays as a folder below ``path__changes`` until ``forget_changes``, for those who
+``name`` is a view without the bucket column; the partitions belong to ``name__rows``.  The partitions of each
+batch stay noted in a folder below ``path__changes`` until ``forget_changes``, for those who
 bring other tables up to date.
 """
 
@@ -24,13 +25,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from terrace.files import folders, remove
-from terrace.operators.upsert import upsert
+from terrace.operators.upsert import latest_by_key, upsert
 from terrace.sinks.clustered import cluster
 from terrace.sinks.tables import (
     declare_table,
     grow_table,
+    known_partitions,
     point_partitions,
     set_properties,
+    stage_partitions,
     swap_partitions,
 )
 
@@ -88,17 +91,27 @@ class KeyedTable:
         """Apply one batch of changes; returns the partitions that it touched (see ``levels``)."""
         spark = changes.sparkSession
         # Written and not cached: the batch is computed once and survives lost executors.
-        incoming = f"{self._changes}/batch={uuid.uuid4().hex}"
-        changes.withColumn(BUCKET, self.bucket()).write.parquet(incoming)
-        batch = spark.read.parquet(incoming)
-        touched = self._partitions(batch)
-        if not touched:
-            remove(spark, incoming)
+        bucketed = changes.withColumn(BUCKET, self.bucket())
+        latest = latest_by_key(bucketed, self.keys, self.sequence, self.ties)
+        staged = stage_partitions(latest, self.path, self.levels)
+        written = folders(spark, staged, len(self.levels))
+        if not written:
+            remove(spark, staged)
             return []
-        self._declare(spark, batch.schema)
-        current = spark.table(self.rows_name).where(self._within(touched))
-        merged = upsert(current, batch, self.keys, self.sequence, self.ties)
-        swap_partitions(merged, self.rows_name, self.path, self.levels)
+        batch = spark.read.schema(latest.schema)
+        rows = batch.parquet(staged).select(*latest.columns)
+        touched = self._partitions(rows)
+        noted = spark.createDataFrame(touched, rows.select(*self.levels).schema)
+        noted.coalesce(1).write.parquet(f"{self._changes}/batch={uuid.uuid4().hex}")
+        self._declare(spark, rows.schema)
+        known = known_partitions(spark, self.rows_name)
+        held = [f"{staged}/{p}" for p in written if p in known]
+        if held:
+            incoming = batch.option("basePath", staged).parquet(*held)
+            current = spark.table(self.rows_name).where(self._within(self._partitions(incoming)))
+            merged = upsert(current, incoming, self.keys, self.sequence, self.ties)
+            swap_partitions(merged, self.rows_name, self.path, self.levels)
+        point_partitions(spark, self.rows_name, staged, self.levels, only_new=True)
         return touched
 
     def changed_partitions(self, spark: SparkSession) -> tuple[list[str], list[tuple]]:

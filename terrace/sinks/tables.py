@@ -113,22 +113,42 @@ def replace_table(
     return path
 
 
-def swap_partitions(df: DataFrame, name: str, folder: str, columns: Sequence[str]) -> list[str]:
-    """Write ``df`` to a new folder below ``folder`` and point its partitions of a table there.
+def stage_partitions(df: DataFrame, folder: str, columns: Sequence[str], dealt: bool = False) -> str:
+    """Write ``df`` by partition to a new folder below ``folder``; returns the folder.
 
-    Partitions that do not occur in ``df`` stay.  ``df`` may read from the table itself, and readers
-    keep the files that they started with.  Returns the partitions.
+    With ``dealt`` the rows are written as they come: right for a scan of files that hold one partition
+    each, which then makes no more files than it reads and needs no shuffle.
     """
     path = f"{folder}/{uuid.uuid4().hex}"
     # few files for each partition, while a large one still gets many tasks
-    df.hint("rebalance", *columns).write.partitionBy(*columns).parquet(path)
+    rows = df if dealt else df.hint("rebalance", *columns)
+    rows.write.partitionBy(*columns).parquet(path)
+    return path
+
+
+def swap_partitions(
+    df: DataFrame, name: str, folder: str, columns: Sequence[str], dealt: bool = False
+) -> list[str]:
+    """Write ``df`` to a new folder below ``folder`` and point its partitions of a table there.
+
+    Partitions that do not occur in ``df`` stay.  ``df`` may read from the table itself, and readers
+    keep the files that they started with.  Returns the partitions.  See ``stage_partitions`` for ``dealt``.
+    """
+    path = stage_partitions(df, folder, columns, dealt)
     return point_partitions(df.sparkSession, name, path, columns)
 
 
-def point_partitions(spark: SparkSession, name: str, path: str, columns: Sequence[str]) -> list[str]:
-    """Make the partition folders below ``path`` the partitions of a table, one at a time."""
+def point_partitions(
+    spark: SparkSession, name: str, path: str, columns: Sequence[str], only_new: bool = False
+) -> list[str]:
+    """Make the partition folders below ``path`` the partitions of a table, one at a time.
+
+    With ``only_new`` those that the table has already stay where they are.  Returns the partitions.
+    """
     written = folders(spark, path, len(columns))
-    known = {row[0] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+    known = known_partitions(spark, name)
+    if only_new:
+        written = [p for p in written if p not in known]
 
     def place(partition: str) -> tuple[str, str]:
         spec = ", ".join(_spec(level) for level in partition.split("/"))
@@ -145,6 +165,11 @@ def point_partitions(spark: SparkSession, name: str, path: str, columns: Sequenc
     return written
 
 
+def known_partitions(spark: SparkSession, name: str) -> set[str]:
+    """The partitions of a table, named like their folders."""
+    return {row[0] for row in spark.sql(f"SHOW PARTITIONS {name}").collect()}
+
+
 def _spec(level: str) -> str:
     column, _, value = level.partition("=")
     return f"`{column}` = null" if value == NULL_PARTITION else f"`{column}` = '{_quoted(unquote(value))}'"

@@ -187,6 +187,25 @@ def test_a_merge_of_one_key_reads_and_writes_one_partition(spark, tmp_path, monk
     assert keyed.read(spark).count() == 200 and keyed.read(spark).where("name = 'b'").count() == 1
 
 
+def test_rows_of_new_partitions_are_written_once(spark, keyed, monkeypatch):
+    """Only what shares a partition with rows of the table is merged with them."""
+    merged = []
+
+    def watched(current, incoming, *rest):
+        merged.append((content(current), content(incoming)))
+        return upsert(current, incoming, *rest)
+
+    monkeypatch.setattr(keyed_module, "upsert", watched)
+    keyed.merge(batch(spark, (1, 15, "old", 1, 0), (1, 15, "a", 2, 0), (1, 15, "older", 0, 9)))
+    keyed.merge(batch(spark, (2, 16, "b", 1, 0), (2, 16, "c", 1, 1), (3, None, "n", 1, 0)))
+    assert merged == []
+    found = keyed.merge(batch(spark, (1, 15, "d", 3, 0), (4, 17, "e", 2, 0), (4, 17, "f", 1, 0)))
+    assert merged == [([(1, 15, "a", 2, 0)], [(1, 15, "d", 3, 0)])]
+    assert sorted(edition for edition, _ in found) == [15, 17]
+    assert {r["name"] for r in keyed.read(spark).collect()} == {"c", "d", "e", "n"}
+    assert len(keyed.changed_partitions(spark)[0]) == 3
+
+
 def test_view_follows_merges_and_new_columns(spark, keyed):
     keyed.merge(batch(spark, (1, 15, "a", 1, 0), (2, None, "n", 1, 0)))
     keyed.describe(spark, "a comment", {"quality": "silver"})
