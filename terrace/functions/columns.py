@@ -27,12 +27,17 @@ def tolerant_cast(value: Column, to: str, text: bool = True) -> Column:
     ``try_cast`` to an integer type rejects.  ``try_cast`` alone also raises and
     catches an exception per malformed value, at 20 times the cost of the
     pattern that keeps such text away from it; it is left to find overflows.
+    Patterns are matched only where text is more than digits.
     """
     to = to.lower()
     if text and to in _WHOLE:
-        whole = F.nullif(F.regexp_extract(value, _WHOLE_PART, 1), F.lit(""))
-        zero = F.when(value.rlike(_ONLY_FRACTION), F.lit(0).cast(to))
-        return F.coalesce(whole.try_cast(to), zero)
+        digits = (value != "") & (F.btrim(value, F.lit("0123456789")) == "")
+        whole = F.regexp_extract(value, _WHOLE_PART, 1)
+        return (
+            F.when(digits, value.try_cast(to))
+            .when(value.rlike(_WHOLE_PART), whole.try_cast(to))
+            .when(value.rlike(_ONLY_FRACTION), F.lit(0).cast(to))
+        )
     if text and to in _FRACTIONAL:
         return F.when(value.rlike(_NUMBER_START), value.try_cast(to))
     return value.try_cast(to)

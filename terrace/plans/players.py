@@ -356,7 +356,8 @@ class PlayersLake:
             point_partitions(spark, name, path, [EDITION])
 
     def _publish_rankings(self, spark: SparkSession, rows: DataFrame) -> None:
-        self._swap(spark, RANKINGS, rows, EDITION)
+        # silver files hold one edition each
+        self._swap(spark, RANKINGS, rows, EDITION, dealt=True)
 
     def _swap(
         self,
@@ -365,6 +366,7 @@ class PlayersLake:
         rows: DataFrame,
         column: str,
         properties: Mapping[str, str] = GOLD_PROPERTIES,
+        dealt: bool = False,
     ) -> None:
         """Replace the partitions of a published table that occur in ``rows``."""
         name, folder = self._gold(table), self._folder(table)
@@ -372,7 +374,7 @@ class PlayersLake:
             declare_table(spark, name, rows.schema, path=folder, partition_by=[column])
             set_properties(spark, name, COMMENTS[table], properties)
         grow_table(spark, name, rows.schema)
-        swap_partitions(rows, name, folder, [column])
+        swap_partitions(rows, name, folder, [column], dealt)
 
     def _gold(self, table: str) -> str:
         return f"{self.gold_layer}.{table}"

@@ -105,6 +105,25 @@ def test_one_changed_player_rewrites_one_bucket_of_the_history(spark, tmp_path):
     assert len(before) == 8 and len(before - after) == 1 and len(after - before) == 1
 
 
+def test_rankings_are_copied_without_a_shuffle(spark, tmp_path, monkeypatch):
+    """Rows come by edition already, so each file of the cleaned table is read and written once."""
+    (tmp_path / "in").mkdir()
+    lake = PlayersLake(str(tmp_path / "in"), str(tmp_path / "lake"), "copy_b", "copy_s", "copy_g")
+    for edition in (15, 16):
+        lines = "".join(line(n, "A") for n in range(1, 30))
+        (tmp_path / "in" / f"players_{edition}.csv").write_text(EARLY + lines)
+    lake.ingest(spark)
+    lake.upsert(spark)
+    hinted, frames = [], type(spark.range(1))
+    plain = frames.hint
+    monkeypatch.setattr(frames, "hint", lambda df, *a: hinted.append(set(df.columns)) or plain(df, *a))
+    lake.publish(spark)
+    silver, ranked = lake.silver.read(spark), spark.table(f"copy_g.{players.RANKINGS}")
+    assert len(hinted) == 4 and set(ranked.columns) not in hinted
+    assert silver.exceptAll(ranked.select(silver.columns)).isEmpty() and ranked.count() == 58
+    assert len(ranked.inputFiles()) <= len(silver.inputFiles())
+
+
 def test_rule_counts_are_kept(spark, lake):
     counts = spark.table(f"silver.{players.RULE_COUNTS}").groupBy("rule").sum("violations").collect()
     counts = dict(map(tuple, counts))
