@@ -249,14 +249,12 @@ class Code:
         self.length_of[self.ids] = self.lengths
         self._steps = steps
 
-    def table(self) -> tuple[np.ndarray, np.ndarray]:
-        """Id and code length for every window of ``bits`` bits."""
-        ids = np.zeros(1 << self.bits, dtype=np.uint32)
-        lengths = np.ones(1 << self.bits, dtype=np.int64)
-        filled = int(self._steps.sum())
-        ids[:filled] = np.repeat(self.ids, self._steps)
-        lengths[:filled] = np.repeat(self.lengths, self._steps)
-        return ids, lengths
+    def table(self) -> np.ndarray:
+        """For every window of ``bits`` bits, 256 times the id and the code length."""
+        entries = np.ones(1 << self.bits, dtype=np.uint64)
+        both = (self.ids << 8 | self.lengths).astype(np.uint64)
+        entries[: int(self._steps.sum())] = np.repeat(both, self._steps)
+        return entries
 
     def encode(self, ids: np.ndarray) -> tuple[bytes, bytes]:
         """Checkpoints and bits of one block."""
@@ -264,29 +262,32 @@ class Code:
         ends = np.cumsum(lengths)
         starts = ends - lengths
         word = starts >> 5
-        # each code lies within two 32-bit words; codes never overlap, so sums are exact
-        framed = self.code_of[ids] << (64 - (starts & 31) - lengths).astype(np.uint64)
-        size = int(ends[-1] >> 5) + 2
-        words = np.bincount(word, weights=framed >> np.uint64(32), minlength=size)
-        words += np.bincount(word + 1, weights=framed & np.uint64(0xFFFFFFFF), minlength=size)
+        # each code lies within two 32-bit words; codes never overlap, so those of a word are or'ed
+        framed = self.code_of[ids] << (64 - (starts & 31) - lengths).view(np.uint64)
+        first = np.flatnonzero(np.diff(word, prepend=-1))
+        both = np.bitwise_or.reduceat(framed, first)
+        words = np.zeros(int(ends[-1] >> 5) + 2, dtype=np.uint64)
+        words[word[first]] = both >> np.uint64(32)
+        words[word[first] + 1] |= both & np.uint64(0xFFFFFFFF)
         return starts[::CHECKPOINT].astype("<u4").tobytes(), words.astype(">u4").tobytes()
 
 
-def decode(checkpoints: bytes, bits: bytes, n_ids: int, code_table: tuple, width: int) -> np.ndarray:
+def decode(checkpoints: bytes, bits: bytes, n_ids: int, code_table: np.ndarray, width: int) -> np.ndarray:
     """The ids of one block: all checkpoints advance together, one table look-up per id."""
-    ids_of, length_of = code_table
-    words = np.concatenate([np.frombuffer(bits, dtype=">u4").astype(np.uint64), np.zeros(2, np.uint64)])
-    at = np.frombuffer(checkpoints, dtype="<u4").astype(np.int64)
-    out = np.zeros((len(at), CHECKPOINT), dtype="<u4")
-    mask = np.uint64((1 << width) - 1)
-    last = len(words) - 2
+    # the last checkpoint may run past its end: its table entries advance by ``width`` bits at most
+    beyond = np.zeros(CHECKPOINT * width // 32 + 3, dtype=np.uint64)
+    words = np.concatenate([np.frombuffer(bits, dtype=">u4").astype(np.uint64), beyond])
+    framed = (words[:-1] << np.uint64(32)) | words[1:]
+    at = np.frombuffer(checkpoints, dtype="<u4").astype(np.uint64)
+    out = np.empty((CHECKPOINT, len(at)), dtype="<u4")
+    mask, room = np.uint64((1 << width) - 1), np.uint64(64 - width)
+    word_bits, five, size = np.uint64(31), np.uint64(5), np.uint64(0xFF)
     for step in range(CHECKPOINT):
-        word = np.minimum(at >> 5, last)  # the last checkpoint may run past its end
-        framed = (words[word] << np.uint64(32)) | words[word + 1]
-        window = (framed >> (64 - width - (at & 31)).astype(np.uint64)) & mask
-        out[:, step] = ids_of[window]
-        at = at + length_of[window]
-    return out.reshape(-1)[:n_ids]
+        window = framed[(at >> five).view(np.int64)] >> (room - (at & word_bits))
+        entry = code_table[(window & mask).view(np.int64)]
+        out[step] = entry >> np.uint64(8)
+        at += entry & size
+    return out.T.reshape(-1)[:n_ids]
 
 
 # ---- files ----

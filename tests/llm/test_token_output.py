@@ -50,6 +50,21 @@ def test_round_trip(size, kinds):
     assert (np.diff(left.astype(np.int64)) > 0).all()
 
 
+def test_bits_of_a_block_are_its_codes_in_order():
+    """Also where one code fills whole words and the last one ends with a word; one look-up has id and length."""
+    rng = np.random.default_rng(5)
+    ids = rng.integers(0, 200, 4096).astype(np.int64)
+    present, counts = np.unique(ids, return_counts=True)
+    code = t.Code(present, t.code_lengths(counts, 16))
+    checkpoints, bits = code.encode(ids)
+    want = "".join(format(int(code.code_of[i]), f"0{int(code.length_of[i])}b") for i in ids)
+    assert "".join(format(b, "08b") for b in bits)[: len(want)] == want
+    entries = code.table()
+    first = int(want[: code.bits], 2)
+    assert (entries[first] >> np.uint64(8), entries[first] & np.uint64(255)) == (ids[0], code.length_of[ids[0]])
+    assert t.decode(checkpoints, bits, len(ids), entries, code.bits).tolist() == ids.tolist()
+
+
 def ids_of(text):
     return np.array([*LIB.encode(text or "", add_special_tokens=False).ids, 1], dtype="<u4")
 
